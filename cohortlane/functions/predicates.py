@@ -53,9 +53,11 @@ def _field(frame: DataFrame, rule: Predicate) -> Column:
         test = {"ge": left >= right, "gt": left > right, "le": left <= right, "lt": left < right}[rule.op]
     elif rule.op in ("in", "not_in"):
         usable = [v for v in rule.value if v is not None and _comparable(kind, v)]
+        if isinstance(kind, T.BooleanType):
+            column, usable = column.cast("int"), [v + 0 for v in usable]
+        elif isinstance(kind, T.NumericType):
+            usable = [v + 0 for v in usable]
         test = column.isin(*usable) if usable else F.lit(False)
-        if isinstance(kind, (T.NumericType, T.BooleanType)) and usable:
-            test = column.cast("double").isin(*[float(v) for v in usable])
         test = ~test if rule.op == "not_in" else test
     else:
         test = _equals(kind, column, rule.value)
