@@ -34,3 +34,10 @@ __all__ = [
     "StudySpec",
     "SurveyFeature",
 ]
+
+# Functions used inside tasks travel with the job, so executors need no copy of this package.
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -7,13 +7,14 @@ is shrunk before the shuffle. All results are keyed by ``person_id`` and join wi
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import ConceptSet, MeasurementFeature, StudySpec, SurveyFeature
 from ..errors import DataContractError
 from ..functions.scalars import age_on, evidence_number, finite, is_finite, parsed
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, local_rows
 from ..sources.omop import OmopSource
 from .vocabulary import resolve_concepts, resolve_surveys, resolve_units
 
@@ -261,7 +262,8 @@ def reduce_measurement(events: DataFrame, spec: MeasurementFeature, cutoff: dt.d
 def measurement_rows(source: OmopSource, study: StudySpec, concepts: DataFrame, units: DataFrame) -> DataFrame:
     """Measurement rows that are valid for some feature: window, concept, unit, range, finite."""
     cutoff, features = study.clinical_cutoff, study.measurements
-    ranges = source.spark.createDataFrame(
+    ranges = local_rows(
+        source.spark,
         [(n, float(f.minimum), float(f.maximum), _days_back(cutoff, f.lookback_days)) for n, f in features.items()],
         "feature string, minimum double, maximum double, start date",
     )
@@ -300,12 +302,14 @@ def resolve_study(source: OmopSource, study: StudySpec) -> dict[str, DataFrame]:
     """Check the source, then resolve every vocabulary reference of the study."""
     source.preflight(study)
     sets: dict[str, ConceptSet] = {n: f.concepts for n, f in {**study.conditions, **study.measurements}.items()}
-    found = {"concepts": resolve_concepts(source, sets)}
-    if study.surveys:
-        found["surveys"] = resolve_surveys(source, study.surveys)
-    if study.measurements:
-        found["units"] = resolve_units(source, study.measurements)
-    return found
+    # Three independent resolutions of a few small jobs each; they overlap on the driver's threads.
+    with ThreadPoolExecutor(3) as pool:
+        waiting = {"concepts": pool.submit(resolve_concepts, source, sets)}
+        if study.surveys:
+            waiting["surveys"] = pool.submit(resolve_surveys, source, study.surveys)
+        if study.measurements:
+            waiting["units"] = pool.submit(resolve_units, source, study.measurements)
+        return {name: result.result() for name, result in waiting.items()}
 
 
 def extract_features(source: OmopSource, study: StudySpec, resolved: dict | None = None) -> DataFrame:

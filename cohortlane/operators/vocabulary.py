@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import ConceptSet, MeasurementFeature, SurveyFeature
 from ..errors import DataContractError
-from ..session import broadcast_if_small, cut
+from ..session import broadcast_if_small, cut, local_rows
 from ..sources.omop import CONTRACT, OmopSource
 
 RECORD = CONTRACT["concept"]
 
 
 def _literal(source: OmopSource, rows: list, schema: str) -> DataFrame:
-    return F.broadcast(source.spark.createDataFrame(rows, schema))
+    return F.broadcast(local_rows(source.spark, rows, schema))
 
 
 def _fail_on(problems: DataFrame, what: str) -> None:
@@ -44,10 +44,10 @@ def seed_problems(source: OmopSource, sets: dict[str, ConceptSet], seeds: DataFr
     """Requested ids or codes that are absent, and seeds that are not usable."""
     ids = [(key, i) for key, s in sets.items() for i in s.ids]
     codes = [(key, s.vocabulary, c) for key, s in sets.items() for c in s.codes]
-    absent_ids = source.spark.createDataFrame(ids, "set_key string, concept_id long").join(
+    absent_ids = local_rows(source.spark, ids, "set_key string, concept_id long").join(
         seeds, ["set_key", "concept_id"], "left_anti"
     )
-    absent_codes = source.spark.createDataFrame(
+    absent_codes = local_rows(source.spark, 
         codes, "set_key string, vocabulary_id string, concept_code string"
     ).join(seeds, ["set_key", "vocabulary_id", "concept_code"], "left_anti")
     rules = _literal(
@@ -97,7 +97,7 @@ def expand_concepts(source: OmopSource, sets: dict[str, ConceptSet], seeds: Data
         [(key, s.domain, s.require_standard) for key, s in sets.items()],
         "set_key string, domain_id string, standard_only boolean",
     )
-    excluded = spark.createDataFrame(
+    excluded = local_rows(spark, 
         [(key, i) for key, s in sets.items() for i in s.exclude_ids], "set_key string, concept_id long"
     )
     return (
@@ -118,8 +118,7 @@ def resolve_concepts(source: OmopSource, features: dict[str, ConceptSet]) -> Dat
     sets = {keys[name]: definition for name, definition in features.items()}
     seeds = cut(concept_seeds(source, sets))
     _fail_on(seed_problems(source, sets, seeds), "Seed concepts cannot be used")
-    wanted = source.spark.createDataFrame([(k,) for k in sets], "set_key string")
-    _fail_on(wanted.join(seeds, "set_key", "left_anti"), "Concept sets without any seed")
+    wanted = local_rows(source.spark, [(k,) for k in sets], "set_key string")
     members = cut(expand_concepts(source, sets, seeds))
     _fail_on(wanted.join(members, "set_key", "left_anti"), "Concept sets left empty by their restrictions")
     names = _literal(source, [(n, k) for n, k in keys.items()], "feature string, set_key string")
@@ -129,7 +128,7 @@ def resolve_concepts(source: OmopSource, features: dict[str, ConceptSet]) -> Dat
 def resolve_units(source: OmopSource, features: dict[str, MeasurementFeature]) -> DataFrame:
     """(feature, concept_id, concept_code, valid) of the accepted units; every code must exist and be valid."""
     rows = [(n, f.unit_vocabulary, c) for n, f in features.items() for c in f.unit_codes]
-    wanted = source.spark.createDataFrame(rows, "feature string, vocabulary_id string, concept_code string")
+    wanted = local_rows(source.spark, rows, "feature string, vocabulary_id string, concept_code string")
     units = cut(
         source.table("concept")
         .join(F.broadcast(wanted), ["vocabulary_id", "concept_code"])
@@ -164,10 +163,10 @@ def survey_problems(source: OmopSource, surveys: dict[str, SurveyFeature], recor
         source, [(n, s.vocabulary) for n, s in surveys.items()], "feature string, vocabulary_id string"
     )
     in_vocabulary = records.join(vocabularies, ["feature", "vocabulary_id"])
-    absent_ids = spark.createDataFrame(ids, "feature string, concept_id long").join(
+    absent_ids = local_rows(spark, ids, "feature string, concept_id long").join(
         records, ["feature", "concept_id"], "left_anti"
     )
-    absent_codes = spark.createDataFrame(codes, "feature string, vocabulary_id string, code string").join(
+    absent_codes = local_rows(spark, codes, "feature string, vocabulary_id string, code string").join(
         records, ["feature", "vocabulary_id", "code"], "left_anti"
     )
     ambiguous = in_vocabulary.groupBy("feature", "code").count().filter("count > 1")
@@ -209,9 +208,9 @@ def resolve_surveys(source: OmopSource, surveys: dict[str, SurveyFeature]) -> Da
     question = lookup.select("feature", F.col("code").alias("question"), F.col("concept_id").alias("question_id"))
     answer = lookup.select("feature", F.col("code").alias("answer"), F.col("concept_id").alias("answer_id"))
     answers = (
-        spark.createDataFrame(by_id, "feature string, question_id long, answer_id long, polarity string")
+        local_rows(spark, by_id, "feature string, question_id long, answer_id long, polarity string")
         .unionByName(
-            spark.createDataFrame(by_code, "feature string, question string, answer string, polarity string")
+            local_rows(spark, by_code, "feature string, question string, answer string, polarity string")
             .join(question, ["feature", "question"])
             .join(answer, ["feature", "answer"])
             .select("feature", "question_id", "answer_id", "polarity")
@@ -221,10 +220,10 @@ def resolve_surveys(source: OmopSource, surveys: dict[str, SurveyFeature]) -> Da
     clash = answers.groupBy("feature", "question_id", "answer_id").count().filter("count > 1")
     _fail_on(clash, "Survey answers mapped both ways")
     limits = (
-        spark.createDataFrame(limits_id, "feature string, question_id long, threshold double")
+        local_rows(spark, limits_id, "feature string, question_id long, threshold double")
         .withColumn("rank", F.lit(0))
         .unionByName(
-            spark.createDataFrame(limits_code, "feature string, question string, threshold double")
+            local_rows(spark, limits_code, "feature string, question string, threshold double")
             .join(question, ["feature", "question"])
             .select("feature", "question_id", "threshold", F.lit(1).alias("rank"))
         )

@@ -3,27 +3,49 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 #: A side is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 500_000
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a new local one only where none is named."""
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names; a new local one only where none is named."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cohortlane-checkpoint-"))
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cohortlane-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """Materialise a frame in the checkpoint folder, so that it survives lost executors."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """Write a frame to the checkpoint folder and read it back.
+
+    This ends its lineage, survives lost executors, and tells Catalyst the exact size of what follows, so
+    that a small result is broadcast and a large one is not.
+    """
+    path = f"{scratch_folder(frame.sparkSession)}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of configuration values. Known at planning time, so it needs no job of its own."""
+    fields = T.StructType.fromDDL(schema).fields
+    if len(rows) > 1000 or any(isinstance(f.dataType, T.ArrayType) for f in fields):
+        return spark.createDataFrame(rows, schema)
+    names = ", ".join(f.name for f in fields)
+    filled = rows or [(None,) * len(fields)]
+    values = {f"v{i}_{j}": value for i, row in enumerate(filled) for j, value in enumerate(row)}
+    lines = [
+        "(" + ", ".join(f"cast(:v{i}_{j} as {f.dataType.simpleString()})" for j, f in enumerate(fields)) + ")"
+        for i in range(len(filled))
+    ]
+    frame = spark.sql(f"select * from values {', '.join(lines)} as t({names})", args=values)
+    return frame if rows else frame.filter(F.lit(False))
 
 
 def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,14 +80,9 @@ def numbered(frame: DataFrame, keys: list[str], order: list[Column], name: str)
         )
     )
     counts = place.groupBy("_part", *keys).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    earlier = counts.alias("mine").join(
-        counts.select(F.col("_part").alias("_before"), *keys, F.col("_n").alias("_m")).alias("theirs"),
-        on=all_true([F.col(f"mine.{k}").eqNullSafe(F.col(f"theirs.{k}")) for k in keys])
-        & (F.col("theirs._before") < F.col("mine._part")),
-        how="left",
-    )
-    offsets = earlier.groupBy("mine._part", *[F.col(f"mine.{k}") for k in keys]).agg(
-        (F.coalesce(F.sum("_m"), F.lit(0)) - F.first("_first")).alias("_shift")
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_part", *keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
     joined = place.alias("p").join(
         broadcast_if_small(offsets).alias("o"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..config import StudySpec
 from ..errors import DataContractError
+from ..session import local_rows
 
 # The columns each source table must have.
 CONTRACT = {
@@ -79,7 +80,7 @@ class OmopSource:
                     rows.append((name, column, "missing"))
                 elif not isinstance(found[column], allowed_types(column)):
                     rows.append((name, column, f"unexpected type {found[column].simpleString()}"))
-        return self.spark.createDataFrame(rows, PROBLEMS)
+        return local_rows(self.spark, rows, PROBLEMS)
 
     def preflight(self, study: StudySpec) -> dict:
         problems = self.schema_problems(study).collect()
