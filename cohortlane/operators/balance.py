@@ -128,23 +128,3 @@ def balance_table(pool: DataFrame, members: DataFrame, spec: MatchSpec) -> DataF
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
-
-
-def present_balance(balance: DataFrame, matched_cases: int, controls: int) -> DataFrame:
-    """Absolute differences under display names; everything but the variable is hidden for few people."""
-    hidden = 0 < matched_cases <= 20 or 0 < controls <= 20
-    names = {
-        "type": "Type",
-        "diff_before": "Absolute SMD before",
-        "v_ratio_before": "Variance ratio before",
-        "diff_after": "Absolute SMD after",
-        "v_ratio_after": "Variance ratio after",
-    }
-    columns = [F.col("variable").alias("Variable")]
-    for column, shown in names.items():
-        value = F.col(column)
-        if column.startswith("diff"):
-            value = F.abs(value)
-        blank = F.lit(None).cast("string" if column == "type" else "double")
-        columns.append((blank if hidden else value).alias(shown))
-    return balance.select(*columns, F.lit(hidden).alias("suppressed"))

@@ -91,3 +91,17 @@ def numbered(frame: DataFrame, keys: list[str], order: list[Column], name: str)
     )
     kept = [F.col(f"p.{c}") for c in frame.columns]
     return joined.select(*kept, (F.col("p._at") + F.col("o._shift") + 1).cast(T.LongType()).alias(name))
+
+
+def running_total(frame: DataFrame, keys: list[str], order: list[Column], weight: str, name: str) -> DataFrame:
+    """Running sum of ``weight`` within ``keys``, spread over range partitions like ``numbered``."""
+    order_columns = [F.col(k).asc() for k in keys] + order
+    spread = cut(frame.repartitionByRange(*order_columns).withColumn("_part", F.spark_partition_id()))
+    sums = spread.groupBy("_part", *keys).agg(F.sum(weight).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = spread.withColumn("_upto", F.sum(weight).over(inside)).join(
+        broadcast_if_small(offsets), ["_part", *keys]
+    )
+    return joined.select(*frame.columns, (F.col("_upto") + F.col("_shift")).alias(name))
