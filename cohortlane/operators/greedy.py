@@ -15,7 +15,7 @@ import numpy as np
 class CellMarket:
     """Cells of one stratum, sorted on their first coordinate (the axis)."""
 
-    def __init__(self, coordinates, supply, truncated, dimensions, calipers):
+    def __init__(self, coordinates, supply, truncated, dimensions, calipers, weights=(), floor=1.0):
         order = np.argsort(coordinates[:, 0], kind="stable")
         self.coordinates = coordinates[order]
         self.supply = [supply[i] for i in order]
@@ -23,9 +23,24 @@ class CellMarket:
         self.used = [0] * len(order)
         self.dimensions = dimensions
         self.calipers = calipers
+        self.weights = weights
+        self.floor = floor
         self.axis = self.coordinates[:, 0]
         self.reach = min([width for column, width in calipers if column == 0], default=np.inf)
 
+    def distance(self, gaps):
+        """Column by column, so that mirrored gaps give exactly equal distances."""
+        if not self.weights:
+            return np.abs(gaps[:, 0])
+        total = np.zeros(len(gaps))
+        for row in self.weights:
+            part = np.zeros(len(gaps))
+            for column, weight in enumerate(row):
+                if weight:
+                    part = part + gaps[:, column] * weight
+            total = total + part * part
+        return np.sqrt(total)
+
     def preference(self, values, radius):
         """Eligible cells nearer than ``radius`` by increasing distance, as (distance, cells) groups."""
         reach = min(self.reach, radius)
@@ -33,13 +48,12 @@ class CellMarket:
         slack = 1e-9 * (1.0 + abs(values[0]))
         lo = np.searchsorted(self.axis, values[0] - reach - slack, "left")
         hi = np.searchsorted(self.axis, values[0] + reach + slack, "right")
-        gaps = np.abs(self.coordinates[lo:hi] - values)
+        gaps = self.coordinates[lo:hi] - values
         keep = np.ones(hi - lo, dtype=bool)
         for column, width in self.calipers:
-            keep &= gaps[:, column] <= width
-        space = gaps[:, : self.dimensions]
-        distance = space[:, 0] if self.dimensions == 1 else np.sqrt((space * space).sum(axis=1))
-        keep &= distance < radius
+            keep &= np.abs(gaps[:, column]) <= width
+        distance = self.distance(gaps)
+        keep &= distance < radius * self.floor
         cells = np.flatnonzero(keep)
         distance = distance[cells]
         ranked = np.argsort(distance, kind="stable")

@@ -62,8 +62,15 @@ class Geometry:
     dimensions: int
     calipers: tuple
     axis_reach: float
+    #: Rows of the whitening matrix; without it the distance is the difference in the first coordinate.
+    weights: tuple = ()
     facts: dict = field(default_factory=dict)
 
+    @property
+    def floor(self) -> float:
+        """Distance per unit of the first coordinate at least; a hair less than exact, for rounding."""
+        return self.weights[0][0] * (1 - 1e-12) if self.weights else 1.0
+
 
 # --- the pool -------------------------------------------------------------------------------------------
 
@@ -138,8 +145,8 @@ def pooled_covariance(pool: DataFrame, columns: list[Column]) -> np.ndarray:
     return total / max(weight, 1)
 
 
-def whitening(covariance: np.ndarray) -> np.ndarray:
-    """Lower triangular W with W S W' = I on the space S spans; constant directions are dropped."""
+def whitening(covariance: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Columns that add a direction, and lower triangular W with W S W' = I over them."""
     p = len(covariance)
     lower = np.zeros((p, p))
     kept = []
@@ -150,12 +157,12 @@ def whitening(covariance: np.ndarray) -> np.ndarray:
             for j in range(i + 1, p):
                 lower[j, i] = (covariance[j, i] - lower[j, :i] @ lower[i, :i]) / lower[i, i]
             kept.append(i)
+    if not kept:
+        return [0], np.ones((1, 1))
     inverse = np.linalg.inv(lower[np.ix_(kept, kept)])
-    result = np.zeros((len(kept), p))
-    result[:, kept] = inverse
     # Rounded, so that partial sums added up in another order give the same distances.
-    scale = 10.0 ** (11 - np.floor(np.log10(np.abs(result).max())))
-    return np.round(result * scale) / scale
+    scale = 10.0 ** (11 - np.floor(np.log10(np.abs(inverse).max())))
+    return kept, np.round(inverse * scale) / scale
 
 
 def linear(columns: list[Column], weights: np.ndarray) -> Column:
@@ -179,7 +186,7 @@ def geometry(pool: DataFrame, spec: MatchSpec) -> Geometry:
             dimensions,
             tuple(calipers + [(1 + i, raw[n]) for i, n in enumerate(further)]),
             reach,
-            facts,
+            facts=facts,
         )
     numeric = [n for n in spec.distance if n not in (*spec.exact, *spec.categorical)]
     if len(columns) == 1 and numeric:
@@ -192,22 +199,20 @@ def geometry(pool: DataFrame, spec: MatchSpec) -> Geometry:
             tuple(own + [(1 + i, raw[n]) for i, n in enumerate(further)]),
             raw.get(name, np.inf),
         )
-    if not columns:
-        # Factors with a single level: every distance is zero.
-        columns, weights = [F.lit(0.0)], np.ones((1, 1))
-    else:
-        weights = whitening(pooled_covariance(pool, columns))
-    space = [linear(columns, row) for row in weights]
-    first = sorted(numeric, key=lambda n: n not in raw)[0] if numeric else None
-    reach = np.inf
-    if first in raw and weights[0, 0] > 0 and not weights[0, 1:].any():
-        reach = raw[first] * weights[0, 0] * (1 + 1e-9) + 1e-9
-    further = list(raw)
+    # Without columns (factors of a single level) every distance is zero.
+    columns = columns or [F.lit(0.0)]
+    kept, weights = whitening(pooled_covariance(pool, columns))
+    space = [columns[i] for i in kept]
+    # Calipered numeric columns come first among the columns.
+    first = sorted(numeric, key=lambda n: n not in raw)[0] if numeric and kept[0] == 0 else None
+    further = [n for n in raw if n != first]
+    own = [(0, raw[first])] if first in raw else []
     return Geometry(
         F.array(*space, *[F.col(n).cast("double") for n in further]),
         len(space),
-        tuple((len(space) + i, raw[n]) for i, n in enumerate(further)),
-        reach,
+        tuple(own + [(len(space) + i, raw[n]) for i, n in enumerate(further)]),
+        raw.get(first, np.inf),
+        tuple(tuple(float(w) for w in row) for row in weights),
     )
 
 
@@ -297,12 +302,14 @@ def reachable(space: Geometry, mine: Column, other: Column) -> Column:
 
 
 def distance_between(space: Geometry, mine: Column, other: Column) -> Column:
+    """Computed from differences, so that mirrored gaps give exactly equal distances."""
     gaps = [mine[i] - other[i] for i in range(space.dimensions)]
-    if len(gaps) == 1:
+    if not space.weights:
         return F.abs(gaps[0])
-    total = gaps[0] * gaps[0]
-    for gap in gaps[1:]:
-        total = total + gap * gap
+    total = F.lit(0.0)
+    for row in space.weights:
+        part = linear(gaps, row)
+        total = total + part * part
     return F.sqrt(total)
 
 
@@ -342,7 +349,7 @@ def nearest_with_replacement(core: DataFrame, spec: MatchSpec, space: Geometry,
         usable = F.coalesce(
             F.col("ids").isNotNull()
             & reachable(space, F.col("values"), F.col("cell"))
-            & (everything | (far < F.col("radius"))),
+            & (everything | (far < F.col("radius") * F.lit(space.floor))),
             F.lit(False),
         )
         entries = F.transform(F.col("ids"), lambda i: F.struct(far.alias("distance"), i.alias("control_id")))
@@ -378,13 +385,15 @@ def _market(cells: pd.DataFrame, space: Geometry) -> CellMarket:
         cells["truncated"].tolist(),
         space.dimensions,
         list(space.calipers),
+        space.weights,
+        space.floor,
     )
     market.reach = min(market.reach, space.axis_reach)
     return market
 
 
 def _plain(space: Geometry) -> Geometry:
-    return Geometry(None, space.dimensions, space.calipers, space.axis_reach)
+    return Geometry(None, space.dimensions, space.calipers, space.axis_reach, space.weights)
 
 
 def greedy_small_strata(core: DataFrame, spec: MatchSpec, space: Geometry) -> DataFrame:

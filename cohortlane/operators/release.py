@@ -167,7 +167,8 @@ def publication_associations(
         holm = F.when(F.col("primary"), holm).otherwise("Not primary")
     status = F.create_map(*[F.lit(x) for pair in STATUS_TEXT.items() for x in pair])
     columns = [
-        "model", "predictor", "primary", F.col("status").alias("status_id"),
+        F.col("model").alias("model_id"), F.col("predictor").alias("predictor_id"), "primary",
+        F.col("status").alias("status_id"),
         labelled(F.col("model"), labels).alias("Model"),
         labelled(F.col("predictor"), labels).alias("Condition"),
         F.coalesce(status[F.col("status")], F.col("status")).alias("Status"),
@@ -245,7 +246,7 @@ class DisplayFormat:
     labels: dict = field(default_factory=dict)
 
 
-IDENTITY = ("row", "variable", "summary", "model", "predictor", "primary", "status_id")
+IDENTITY = ("row", "variable", "summary", "model_id", "predictor_id", "primary", "status_id")
 
 
 def _missing(frame: DataFrame, column: str, wanted: tuple) -> list:
@@ -286,7 +287,8 @@ def select_table(report: Report, selection: TableSelection, display: DisplayForm
         table = publication_associations(
             source, labels, decimals=display.estimate_decimals, percent_decimals=display.percent_decimals, numeric=True
         )
-        table = table.join(F.broadcast(source.select("model", "predictor", "row")), ["model", "predictor"])
+        places = source.select(F.col("model").alias("model_id"), F.col("predictor").alias("predictor_id"), "row")
+        table = table.join(F.broadcast(places), ["model_id", "predictor_id"])
     elif selection.models or selection.variables or selection.summaries:
         raise DataContractError("This report holds no numbers to select from.")
     else:
@@ -302,8 +304,8 @@ def select_table(report: Report, selection: TableSelection, display: DisplayForm
         raise DataContractError("A renamed column is not selected.")
     if len({selection.column_labels.get(c, c) for c in columns}) != len(columns):
         raise DataContractError("Displayed column names repeat.")
-    if name == "associations" and "Model" not in columns and "model" in table.columns:
-        if table.select("model").distinct().limit(2).count() > 1:
+    if name == "associations" and "Model" not in columns and "model_id" in table.columns:
+        if table.select("model_id").distinct().limit(2).count() > 1:
             raise DataContractError("Several models need the Model column.")
     if selection.group_sizes and set(report.metadata.get("group_sizes", {})) != {"Cases", "Controls"}:
         raise DataContractError("This report has no group sizes.")
@@ -373,9 +375,9 @@ def content_ledger(
             sizes = set(reports[selection.report].metadata.get("group_sizes", {})) == {"Cases", "Controls"}
             if selection.group_sizes and sizes and {"Cases", "Controls"} <= set(visible):
                 add(one, selection.report, "group sizes", F.lit(""), F.lit(None), selection.name, offered)
-        if selection.table == "associations" and "model" in table.columns:
+        if selection.table == "associations" and "model_id" in table.columns:
             add(
-                table, selection.report, "association", F.col("model"), F.col("predictor"), selection.name, offered,
+                table, selection.report, "association", F.col("model_id"), F.col("predictor_id"), selection.name, offered,
                 F.col("status_id"), F.col("primary"),
             )
     result = parts[0]
