@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import ConceptSet, MeasurementFeature, StudySpec, SurveyFeature
 from ..errors import DataContractError
 from ..functions.scalars import age_on, evidence_number, finite, is_finite, parsed
-from ..session import broadcast_if_small, local_rows
+from ..session import cut, local_rows
 from ..sources.omop import OmopSource
 from .vocabulary import resolve_concepts, resolve_surveys, resolve_units
 
@@ -40,6 +40,9 @@ def _days_back(cutoff: dt.date, days: int | None) -> dt.date:
 def dated_evidence(source: OmopSource, study: StudySpec, concepts: DataFrame) -> DataFrame:
     """Record counts, record span and all condition features, in one pass over conditions and visits.
 
+    ``concepts`` is a materialised table, so Catalyst knows its size: it is broadcast to the scan below the
+    broadcast threshold, and joined by a shuffle (with skew handling) beyond it.
+
     Rows are first rolled up to one per person and day. That makes distinct dates a plain count, needs no
     Expand for several distinct counts, and serves record evidence and every condition feature at once.
     """
@@ -51,10 +54,7 @@ def dated_evidence(source: OmopSource, study: StudySpec, concepts: DataFrame) ->
     conditions = (
         source.table("condition_occurrence")
         .filter(F.col("condition_start_date") <= cutoff)
-        .join(
-            broadcast_if_small(hits.withColumnRenamed("concept_id", "condition_concept_id")),
-            "condition_concept_id", "left",
-        )
+        .join(hits.withColumnRenamed("concept_id", "condition_concept_id"), "condition_concept_id", "left")
     )
 
     def hit(name: str) -> Column:
@@ -127,12 +127,7 @@ def demographics(source: OmopSource, study: StudySpec) -> DataFrame:
         "ethnicity": "ethnicity_concept_id",
     }
     used = person.select(F.explode(F.array(*fields.values())).alias("concept_id")).distinct()
-    names = (
-        source.table("concept")
-        .select("concept_id", "concept_name")
-        .join(broadcast_if_small(used), "concept_id", "left_semi")
-    )
-    names = broadcast_if_small(names)
+    names = cut(source.table("concept").select("concept_id", "concept_name").join(used, "concept_id", "left_semi"))
     birth = F.to_date("birth_datetime")
     frame = person.select("person_id", birth.alias("birth_date"), *fields.values())
     for label, key in fields.items():
@@ -277,8 +272,8 @@ def measurement_rows(source: OmopSource, study: StudySpec, concepts: DataFrame,
     return (
         source.table("measurement")
         .filter(F.col("measurement_date").between(F.lit(earliest), F.lit(cutoff)))
-        .join(broadcast_if_small(wanted), "measurement_concept_id")
-        .join(broadcast_if_small(units), ["feature", "unit_concept_id"])
+        .join(wanted, "measurement_concept_id")
+        .join(units, ["feature", "unit_concept_id"])
         .select(
             "person_id", "feature", F.col("measurement_date").alias("event_date"), value.alias("value"),
             "start", "minimum", "maximum",

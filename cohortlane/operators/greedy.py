@@ -128,3 +128,13 @@ def choose(market: CellMarket, types, radii, agent_types):
         cells.append(cell)
         market.used[cell] += 1
     return picks, cells
+
+
+def nearest_ids(market: CellMarket, values, count: int) -> list:
+    """The ``count`` nearest controls of one type, none of them used up."""
+    found: list = []
+    for group in market.preference(values, np.inf):
+        found += sorted(i for cell in group for i in market.supply[cell][:count])[: count - len(found)]
+        if len(found) == count:
+            break
+    return found

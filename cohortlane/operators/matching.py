@@ -28,7 +28,7 @@ from ..errors import DataContractError
 from ..functions.scalars import is_missing, number_of
 from ..session import all_true, any_true, broadcast_if_small, cut, numbered
 from .estimation import fit_logistic, row_patterns, standardised
-from .greedy import CellMarket, choose
+from .greedy import CellMarket, choose, nearest_ids
 
 EDGES = "stratum string, case_id string, slot int, control_id string"
 
@@ -323,8 +323,35 @@ def core_pool(pool: DataFrame, spec: MatchSpec, space: Geometry) -> DataFrame:
 # --- with replacement ---------------------------------------------------------------------------------------
 
 
+def replacement_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits) -> DataFrame:
+    """Each case's ``ratio`` nearest controls; small strata in a task each, large ones over the cluster."""
+    small, large = split_strata(core, limits)
+    edges = replacement_small_strata(small, spec, space)
+    if large is None:
+        return edges
+    return edges.unionByName(nearest_with_replacement(large, spec, space, limits))
+
+
+def replacement_small_strata(core: DataFrame, spec: MatchSpec, space: Geometry) -> DataFrame:
+    ratio, shape = spec.ratio, _plain(space)
+
+    def serve(stratum: pd.DataFrame) -> pd.DataFrame:
+        cases, market = _stratum_market(stratum, shape)
+        if market is None:
+            return pd.DataFrame(columns=["stratum", "case_id", "slot", "control_id"])
+        lists = {key: nearest_ids(market, np.array(key), ratio) for key in set(cases["key"])}
+        rows = [
+            (stratum["stratum"].iloc[0], case, slot, control)
+            for case, key in zip(cases["person_id"], cases["key"])
+            for slot, control in enumerate(lists[key], start=1)
+        ]
+        return pd.DataFrame(rows, columns=["stratum", "case_id", "slot", "control_id"])
+
+    return core.groupBy("stratum").applyInPandas(serve, EDGES)
+
+
 def nearest_with_replacement(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits) -> DataFrame:
-    """Each case's ``ratio`` nearest controls. Lists are made once per distinct case value.
+    """Replacement for strata of any size. Lists are made once per distinct case value.
 
     From a cell only its ``ratio`` smallest ids can ever be used; that cut is a ranked filter Spark applies
     before the shuffle. A list is final when it is full within the radius its window vouches for.
@@ -396,21 +423,29 @@ def _plain(space: Geometry) -> Geometry:
     return Geometry(None, space.dimensions, space.calipers, space.axis_reach, space.weights)
 
 
+def _stratum_market(stratum: pd.DataFrame, shape: Geometry):
+    """Cases in id order with their values as ``key``, and the market of all controls of one stratum."""
+    stratum = stratum.assign(key=[tuple(v) for v in stratum["values"]]).sort_values("person_id")
+    cases = stratum[stratum["is_case"] == 1]
+    controls = stratum[stratum["is_case"] == 0]
+    if cases.empty or controls.empty:
+        return cases, None
+    grouped = controls.groupby("key", sort=True)["person_id"].agg(list)
+    cells = pd.DataFrame({"values": list(grouped.index), "ids": list(grouped), "truncated": False})
+    return cases, _market(cells, shape)
+
+
 def greedy_small_strata(core: DataFrame, spec: MatchSpec, space: Geometry) -> DataFrame:
     """One task per stratum, in parallel over strata. Only for strata within the limits."""
     ratio, shape = spec.ratio, _plain(space)
 
     def serve(stratum: pd.DataFrame) -> pd.DataFrame:
-        stratum = stratum.assign(key=[tuple(v) for v in stratum["values"]]).sort_values("person_id")
-        cases = stratum[stratum["is_case"] == 1]
-        controls = stratum[stratum["is_case"] == 0]
-        if cases.empty or controls.empty:
+        cases, market = _stratum_market(stratum, shape)
+        if market is None:
             return pd.DataFrame(columns=["stratum", "case_id", "slot", "control_id"])
-        grouped = controls.groupby("key", sort=True)["person_id"].agg(list)
-        cells = pd.DataFrame({"values": list(grouped.index), "ids": list(grouped), "truncated": False})
         kinds, labels = np.unique(np.array(cases["key"].tolist(), dtype=float), axis=0, return_inverse=True)
         agents = np.tile(labels.ravel(), ratio).tolist()
-        picks, _ = choose(_market(cells, shape), kinds, [np.inf] * len(kinds), agents)
+        picks, _ = choose(market, kinds, [np.inf] * len(kinds), agents)
         result = pd.DataFrame({
             "stratum": stratum["stratum"].iloc[0],
             "case_id": np.tile(cases["person_id"].to_numpy(), ratio),
@@ -573,21 +608,40 @@ def _slices(reached: DataFrame, kinds: DataFrame, free: DataFrame, controls: Dat
     )
 
 
-def greedy_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits) -> DataFrame:
-    """(stratum, case_id, slot, control_id) of the sequential greedy without replacement."""
+def stratum_shapes(core: DataFrame, limits: MatchLimits) -> DataFrame:
+    """People, distinct case values and cells per stratum, and whether one task may hold the stratum."""
     shapes = core.groupBy("stratum", "values", "is_case").agg(F.count("*").alias("n")).groupBy("stratum").agg(
         F.sum("n").alias("rows"),
         F.count_if(F.col("is_case") == 1).alias("types"),
         F.count_if(F.col("is_case") == 0).alias("cells"),
     )
-    too_large = (F.col("rows") > limits.stratum_rows) | (F.col("types") * F.col("cells") > limits.stratum_pairs)
-    large = cut(shapes.filter(too_large).select("stratum"))
-    if large.limit(1).count() == 0:
-        return greedy_small_strata(core, spec, space)
-    large = broadcast_if_small(large)
-    small_edges = greedy_small_strata(core.join(large, "stratum", "left_anti"), spec, space)
-    large_edges = greedy_large_strata(core.join(large, "stratum", "left_semi"), spec, space, limits)
-    return small_edges if large_edges is None else small_edges.unionByName(large_edges)
+    fits = (F.col("rows") <= limits.stratum_rows) & (F.col("types") * F.col("cells") <= limits.stratum_pairs)
+    return shapes.withColumn("fits", fits)
+
+
+def split_strata(core: DataFrame, limits: MatchLimits) -> tuple[DataFrame, DataFrame | None]:
+    """The pool of strata that fit into a task, and the pool of the others if there are any."""
+    shapes = stratum_shapes(core, limits)
+    facts = shapes.agg(
+        F.count_if(~F.col("fits")).alias("large"), F.count_if(F.col("types") > 0).alias("cases"),
+        F.count_if(F.col("cells") > 0).alias("controls"),
+    ).first()
+    if not facts["cases"] or not facts["controls"]:
+        raise DataContractError("Matching needs valid cases and valid controls.")
+    if not facts["large"]:
+        return core, None
+    large = broadcast_if_small(cut(shapes.filter("not fits").select("stratum")))
+    return core.join(large, "stratum", "left_anti"), cut(core.join(large, "stratum", "left_semi"))
+
+
+def greedy_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits) -> DataFrame:
+    """(stratum, case_id, slot, control_id) of the sequential greedy without replacement."""
+    small, large = split_strata(core, limits)
+    edges = greedy_small_strata(small, spec, space)
+    if large is None:
+        return edges
+    more = greedy_large_strata(large, spec, space, limits)
+    return edges if more is None else edges.unionByName(more)
 
 
 # --- the result -----------------------------------------------------------------------------------------------
@@ -655,25 +709,28 @@ def criteria_violations(members: DataFrame, spec: MatchSpec) -> DataFrame:
 def membership_violations(members: DataFrame, *, replacement: bool = False) -> DataFrame:
     """(problem, n) over all rows: nulls, roles, repeats within a set, reuse, and set composition."""
     nulls = any_true([F.col(c).isNull() for c in ("person_id", "match_set_id", "is_case")])
-    rows = members.agg(
-        F.count_if(nulls).alias("null identifiers"),
+    people = members.groupBy("match_set_id", "person_id").agg(
+        F.count("*").alias("size"),
+        F.sum("is_case").alias("cases"),
+        F.count_if(nulls).alias("nulls"),
         F.count_if(~F.col("is_case").isin(0, 1)).alias("roles"),
-    ).select(F.expr("stack(2, 'null identifiers', `null identifiers`, 'roles', roles) as (problem, n)"))
-    repeated = members.groupBy("match_set_id", "person_id").count().filter("count > 1")
-    sets = members.groupBy("match_set_id").agg(F.sum("is_case").alias("cases"), F.count("*").alias("size"))
-
-    def counted(frame, problem):
-        return frame.agg(F.count("*").alias("n")).select(F.lit(problem).alias("problem"), "n")
-
-    parts = [
-        counted(repeated, "repeated in a set"),
-        counted(sets.filter("cases <> 1 or size < 2 or cases is null"), "set composition"),
-    ]
-    if not replacement:
-        parts.append(counted(members.groupBy("person_id").count().filter("count > 1"), "reused"))
-    for part in parts:
-        rows = rows.unionByName(part)
-    return rows
+    )
+    sets = people.groupBy("match_set_id").agg(
+        *[F.sum(c).alias(c) for c in ("size", "cases", "nulls", "roles")],
+        F.count_if(F.col("person_id").isNotNull() & (F.col("size") > 1)).alias("repeated"),
+    )
+    composed = F.coalesce((F.col("cases") == 1) & (F.col("size") >= 2), F.lit(False))
+    totals = sets.agg(
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("null identifiers"),
+        F.coalesce(F.sum("roles"), F.lit(0)).alias("roles"),
+        F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated in a set"),
+        F.count_if(~composed).alias("set composition"),
+    )
+    rows = totals.unpivot([], totals.columns, "problem", "n")
+    if replacement:
+        return rows
+    reused = members.groupBy("person_id").count().filter("count > 1").agg(F.count("*").alias("n"))
+    return rows.unionByName(reused.select(F.lit("reused").alias("problem"), "n"))
 
 
 def achieved_ratios(members: DataFrame) -> DataFrame:
@@ -696,7 +753,7 @@ def matching_summary(pool: DataFrame, members: DataFrame, unmatched: DataFrame)
 
 def match_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits = MatchLimits()) -> DataFrame:
     if spec.replace:
-        return nearest_with_replacement(core, spec, space, limits)
+        return replacement_edges(core, spec, space, limits)
     return greedy_edges(core, spec, space, limits)
 
 
@@ -707,18 +764,17 @@ def match_groups(
     if not checked and people.groupBy("person_id").count().filter("count > 1").limit(1).count():
         raise DataContractError("Somebody appears twice, or in both roles.")
     pool = cut(match_pool(people, spec))
-    roles = {r["is_case"] for r in pool.filter("valid").select("is_case").distinct().collect()}
-    if roles != {0, 1}:
-        raise DataContractError("Matching needs valid cases and valid controls.")
     space = geometry(pool.filter("valid"), spec)
-    core = cut(core_pool(pool, spec, space))
+    core = core_pool(pool, spec, space)
     members = cut(layout_members(match_edges(core, spec, space, limits), pool, spec))
-    if members.limit(1).count() == 0:
+    problems = criteria_violations(members, spec).limit(5).select(F.col("problem"), F.lit(1).cast("long").alias("n"))
+    problems = problems.unionByName(membership_violations(members, replacement=spec.replace).filter("n > 0"))
+    size = members.agg(F.count("*").alias("n")).select(F.lit("rows").alias("problem"), "n")
+    found = {r["problem"]: r["n"] for r in problems.unionByName(size).collect()}
+    if not found.pop("rows"):
         raise DataContractError("No set meets the matching rules.")
-    broken = criteria_violations(members, spec).limit(5).collect()
-    broken += membership_violations(members, replacement=spec.replace).filter("n > 0").collect()
-    if broken:
-        raise DataContractError(f"Matched sets break their rules: {broken}")
+    if found:
+        raise DataContractError(f"Matched sets break their rules: {found}")
     unmatched = unmatched_cases(pool, members)
     from .balance import balance_table
 

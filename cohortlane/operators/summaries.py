@@ -6,6 +6,8 @@ aggregate over (variable, value) rows; quantiles come from value counts, so no t
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..config import CharacteristicSpec, ReportSpec, StudySpec, default_report_spec
@@ -195,11 +197,14 @@ def summarize_characteristics(members: DataFrame, spec: ReportSpec) -> DataFrame
     positions = {name: i for i, name in enumerate(spec.characteristics)}
     categorical = {n: i for n, i in spec.characteristics.items() if i.kind == "categorical"}
     numeric = {n: i for n, i in spec.characteristics.items() if i.kind != "categorical"}
-    parts = []
-    if categorical:
-        parts.append(categorical_summary(people, categorical, positions))
-    if numeric:
-        parts.append(numeric_summary(people, numeric, positions))
+    with ThreadPoolExecutor(2) as pool:
+        # Two independent passes; their jobs overlap.
+        waiting = []
+        if categorical:
+            waiting.append(pool.submit(categorical_summary, people, categorical, positions))
+        if numeric:
+            waiting.append(pool.submit(numeric_summary, people, numeric, positions))
+        parts = [w.result() for w in waiting]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

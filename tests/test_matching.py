@@ -7,7 +7,7 @@ from cohortlane import MatchSpec
 from cohortlane.errors import DataContractError
 from cohortlane.operators.matching import (
     MatchLimits, caliper_join, core_pool, criteria_violations, geometry, greedy_edges, match_groups, match_pool,
-    membership_violations, nearest_with_replacement,
+    membership_violations, replacement_edges,
 )
 from cohortlane.session import numbered, running_total
 from cohortlane.sources.store import fingerprint
@@ -49,7 +49,7 @@ def edges_of(people, spec, limits):
     pool = match_pool(people, spec)
     space = geometry(pool.filter("valid"), spec)
     core = core_pool(pool, spec, space)
-    make = nearest_with_replacement if spec.replace else greedy_edges
+    make = replacement_edges if spec.replace else greedy_edges
     return {(r.case_id, r.slot, r.control_id) for r in make(core, spec, space, limits).collect()}
 
 
@@ -118,8 +118,8 @@ def test_mahalanobis_with_several_columns(spark, limits):
     assert found == one_by_one(rows, spec, ["age", "bmi"], distance)
 
 
-def test_replacement_takes_each_cases_nearest(spark):
-    limits = MatchLimits(window=1)
+@pytest.mark.parametrize("limits", [SMALL, MatchLimits(stratum_rows=1, window=1)], ids=["small", "windowed"])
+def test_replacement_takes_each_cases_nearest(spark, limits):
     rows = people_frame(13, 110)
     frame = spark.createDataFrame(rows)
     for changes in ({"exact": ["sex"], "calipers": {"age": 2}, "ratio": 3},
