@@ -52,7 +52,7 @@ def stages(spark, sf_dir: str) -> dict[str, float]:
     matched = {}
     for name, changes in (("m5_ratio_2", {}), ("m5_ratio_4", {"ratio": 4}), ("m6_replacement", {"replace": True})):
         spec = MatchSpec.from_dict({**st.MATCHING, **changes})
-        matched[name] = timed(name, lambda s=spec: match_groups(people, s, checked=True))
+        matched[name] = timed(name, lambda s=spec: match_groups(people, s, checked=True, stored=True))
     timed("b_balance", lambda: matched["m5_ratio_4"].balance.collect())
     members = matched["m5_ratio_4"].members
     timed("a4_conditional_fit", lambda: md.fit_model(members, study.models[0], "exposed"))

@@ -417,14 +417,14 @@ def a4(spark, d):
     return spark.createDataFrame([tuple(row[n] for n in names)], schema)
 
 
-@query("a5_conditioned_out_terms", oracle(f"""select ['sex_at_birth_Sex NATION_1'] as conditioned_out_terms, {rd('b')} as coefficient from fit_9
+@query("a5_conditioned_out_terms", oracle(f"""select 'sex_at_birth_Sex NATION_1' as conditioned_out_terms, {rd('b')} as coefficient from fit_9
     where not exists (select 1 from members group by match_set_id having min(sex_at_birth) <> max(sex_at_birth))""",
     **conditional_newton(9, "members")))
 def a5(spark, d):
     model = ModelSpec(name="sex", predictors=("exposed",), covariates=("age", "sex_at_birth"), categorical=("sex_at_birth",))
     row = md.fit_model(members_of(spark, d), model, "exposed")
     return spark.createDataFrame(
-        [(row["conditioned_out_terms"], row["coefficient"])], "conditioned_out_terms array<string>, coefficient double")
+        [(", ".join(row["conditioned_out_terms"]), row["coefficient"])], "conditioned_out_terms string, coefficient double")
 
 
 @query("a6_centred_gram", oracle(f"""select {rd('sum(x * x)')} as xx, {rd('sum(x * z)')} as xz, {rd('sum(z * z)')} as zz from (

@@ -758,12 +758,18 @@ def match_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: Match
 
 
 def match_groups(
-    people: DataFrame, spec: MatchSpec, *, limits: MatchLimits = MatchLimits(), checked: bool = False
+    people: DataFrame, spec: MatchSpec, *, limits: MatchLimits = MatchLimits(), checked: bool = False,
+    stored: bool = False,
 ) -> MatchResult:
-    """Match, lay out the sets, verify them, and report what was achieved."""
+    """Match, lay out the sets, verify them, and report what was achieved.
+
+    ``checked`` says that every person is known to be there once; ``stored`` that ``people`` is read from
+    files, so that the pool, a projection of it, need not be written again.
+    """
     if not checked and people.groupBy("person_id").count().filter("count > 1").limit(1).count():
         raise DataContractError("Somebody appears twice, or in both roles.")
-    pool = cut(match_pool(people, spec))
+    pool = match_pool(people, spec)
+    pool = pool if stored else cut(pool)
     space = geometry(pool.filter("valid"), spec)
     core = core_pool(pool, spec, space)
     members = cut(layout_members(match_edges(core, spec, space, limits), pool, spec))

@@ -1,7 +1,8 @@
 """Concept sets, survey codes and units resolved against the vocabulary tables.
 
 All concept sets of a study are resolved together as one long table keyed by set; sets with the same
-definition are resolved once. What is broadcast here is made from the configuration, or counted first.
+definition are resolved once. What is broadcast by hint is made from the configuration; resolved seeds are
+written first, so Catalyst knows their size when it chooses the joins that follow.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import ConceptSet, MeasurementFeature, SurveyFeature
 from ..errors import DataContractError
-from ..session import broadcast_if_small, cut, local_rows
+from ..session import cut, local_rows
 from ..sources.omop import CONTRACT, OmopSource
 
 RECORD = CONTRACT["concept"]
@@ -82,11 +83,7 @@ def expand_concepts(source: OmopSource, sets: dict[str, ConceptSet], seeds: Data
     descendants = (
         source.table("concept_ancestor")
         .join(
-            broadcast_if_small(
-                start.filter(F.col("set_key").isin(widened)).withColumnRenamed(
-                    "concept_id", "ancestor_concept_id"
-                )
-            ),
+            start.filter(F.col("set_key").isin(widened)).withColumnRenamed("concept_id", "ancestor_concept_id"),
             "ancestor_concept_id",
         )
         .select("set_key", F.col("descendant_concept_id").alias("concept_id"))
@@ -103,7 +100,7 @@ def expand_concepts(source: OmopSource, sets: dict[str, ConceptSet], seeds: Data
     return (
         source.table("concept")
         .filter("invalid_reason is null")
-        .join(broadcast_if_small(members), "concept_id")
+        .join(members, "concept_id")
         .join(rules, ["set_key", "domain_id"])
         .filter(~F.col("standard_only") | F.col("standard_concept").eqNullSafe(F.lit("S")))
         .join(F.broadcast(excluded), ["set_key", "concept_id"], "left_anti")

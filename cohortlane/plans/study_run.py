@@ -122,7 +122,7 @@ class StudyRun:
         if self.classified is None:
             raise DataContractError("Build the groups first.")
         people = cases_and_controls(self.classified)
-        self.matched = match_groups(people, self.study.matching, limits=limits, checked=True)
+        self.matched = match_groups(people, self.study.matching, limits=limits, checked=True, stored=True)
         identity = {"study": self.study.digest(), "features": self.feature_hash}
         self.matched.members = self.store.save("members", self.matched.members, identity)
         self.matched.unmatched = self.store.save("unmatched", self.matched.unmatched, identity)
