@@ -106,11 +106,14 @@ class PatternSums:
     local: dict | None = field(default=None, init=False)
 
     def __post_init__(self):
-        self.patterns = cut(self.patterns)
-        if self.patterns.limit(self.limit + 1).count() <= self.limit:
+        # Never more than limit + 1 rows come to the driver; a larger table is written and stays on the cluster.
+        rows = self.patterns.limit(self.limit + 1).toPandas()
+        if len(rows) <= self.limit:
             # A fixed order makes repeated runs add up to the same last digit.
-            rows = self.patterns.orderBy(*self.patterns.columns).toPandas()
-            self.local = self.arrays(rows)
+            order = rows.apply(lambda r: tuple(tuple(v) if hasattr(v, "__len__") else (v,) for v in r), axis=1)
+            self.local = self.arrays(rows.loc[order.sort_values().index] if len(rows) else rows)
+        else:
+            self.patterns = cut(self.patterns)
 
     def __call__(self, kernel, *arguments) -> np.ndarray:
         if self.local is not None:

@@ -683,8 +683,8 @@ def unmatched_cases(pool: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def criteria_violations(members: DataFrame, spec: MatchSpec) -> DataFrame:
-    """(match_set_id, problem) for sets that break the ratio, an exact column or a caliper."""
+def set_checks(spec: MatchSpec) -> list[tuple[Column, str]]:
+    """Aggregates over one set that tell whether it breaks the ratio, an exact column or a caliper."""
     case, control = F.col("is_case") == 1, F.col("is_case") == 0
     checks = [
         (F.count_if(case) != 1, "cases"),
@@ -700,12 +700,31 @@ def criteria_violations(members: DataFrame, spec: MatchSpec) -> DataFrame:
         own = F.max(F.when(case, value))
         far = F.greatest(F.max(F.when(control, value)) - own, own - F.min(F.when(control, value)))
         checks.append((F.coalesce(far > width + 1e-10, F.lit(False)), f"caliper {name}"))
-    found = F.filter(F.array(*[F.when(test, F.lit(name)) for test, name in checks]), lambda x: x.isNotNull())
-    return members.groupBy("match_set_id").agg(found.alias("problems")).select(
+    return checks
+
+
+def criteria_violations(members: DataFrame, spec: MatchSpec) -> DataFrame:
+    """(match_set_id, problem) for sets that break the ratio, an exact column or a caliper."""
+    named = F.array(*[F.when(test, F.lit(name)) for test, name in set_checks(spec)])
+    return members.groupBy("match_set_id").agg(F.array_compact(named).alias("problems")).select(
         "match_set_id", F.explode("problems").alias("problem")
     )
 
 
+def broken_rules(members: DataFrame, spec: MatchSpec) -> DataFrame:
+    """(problem, n) with the number of sets: one pass per set, and one per person or per set and person."""
+    checks = set_checks(spec)
+    sets = members.groupBy("match_set_id").agg(*[test.alias(f"c{i}") for i, (test, _) in enumerate(checks)])
+    totals = sets.agg(
+        F.count("*").alias("sets"), *[F.count_if(f"c{i}").alias(name) for i, (_, name) in enumerate(checks)]
+    )
+    key = ["match_set_id", "person_id"] if spec.replace else ["person_id"]
+    repeated = members.groupBy(*key).agg(F.count("*").alias("c")).agg(F.count_if(F.col("c") > 1).alias("n"))
+    return totals.unpivot([], totals.columns, "problem", "n").unionByName(
+        repeated.select(F.lit("repeated people").alias("problem"), "n")
+    )
+
+
 def membership_violations(members: DataFrame, *, replacement: bool = False) -> DataFrame:
     """(problem, n) over all rows: nulls, roles, repeats within a set, reuse, and set composition."""
     nulls = any_true([F.col(c).isNull() for c in ("person_id", "match_set_id", "is_case")])
@@ -773,13 +792,10 @@ def match_groups(
     space = geometry(pool.filter("valid"), spec)
     core = core_pool(pool, spec, space)
     members = cut(layout_members(match_edges(core, spec, space, limits), pool, spec))
-    problems = criteria_violations(members, spec).limit(5).select(F.col("problem"), F.lit(1).cast("long").alias("n"))
-    problems = problems.unionByName(membership_violations(members, replacement=spec.replace).filter("n > 0"))
-    size = members.agg(F.count("*").alias("n")).select(F.lit("rows").alias("problem"), "n")
-    found = {r["problem"]: r["n"] for r in problems.unionByName(size).collect()}
-    if not found.pop("rows"):
+    found = {r["problem"]: r["n"] for r in broken_rules(members, spec).collect()}
+    if not found.pop("sets"):
         raise DataContractError("No set meets the matching rules.")
-    if found:
+    if any(found.values()):
         raise DataContractError(f"Matched sets break their rules: {found}")
     unmatched = unmatched_cases(pool, members)
     from .balance import balance_table

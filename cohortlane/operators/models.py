@@ -29,6 +29,11 @@ RESULT = (
 )
 FIELDS = [f.split()[0] for f in RESULT.split(", ")]
 
+ATTRITION = (
+    "rows_before", "rows_analyzed", "sets_before", "sets_analyzed", "rows_removed", "sets_removed",
+    "rows_removed_by_restriction",
+)
+
 SCORE_LIMIT = 1e-3
 EIGENVALUE_LIMIT = 1e-8
 
@@ -250,12 +255,14 @@ def fit_model(members: DataFrame, model: ModelSpec, predictor: str, *, checked:
     if not checked:
         require_single_use(members)
     packed = cut(packed_sets(members, model, predictor))
-    counts = sample_counts(packed).first().asDict()
+    # Two frames of one row each, evaluated together.
+    counts = sample_counts(packed).crossJoin(attrition(packed)).first().asDict()
+    lost = {name: counts.pop(name) for name in ATTRITION}
     result = dict.fromkeys(FIELDS)
     result.update(
         model=model.name, predictor=predictor, method=model.method, primary=model.primary, family=model.family,
         formula="is_case ~ " + " + ".join(terms_of(model, predictor)), status="non_estimable",
-        **attrition(packed).first().asDict(),
+        **lost,
     )
     if counts.pop("not_binary"):
         raise DataContractError(f"The predictor {predictor} takes values other than 0 and 1.")
