@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import uuid
 
 from pyspark.sql import Window, functions as F
 
@@ -27,8 +27,6 @@ CUT = STUDY.clinical_cutoff
 
 def folder(spark) -> str:
     """A new folder beside the session's checkpoints."""
-    import uuid
-
     return f"{scratch_folder(spark)}/out-{uuid.uuid4().hex}"
 
 

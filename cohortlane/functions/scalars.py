@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 FLOATING = (T.DoubleType, T.FloatType)
-NUMERIC = (T.NumericType,)
 
 
 def age_on(birth_date: Column, reference: dt.date) -> Column:
@@ -54,12 +53,6 @@ def small_count(value: Column, threshold: int = 20) -> Column:
     return (value > 0) & (value <= threshold)
 
 
-def normal_quantile_95() -> float:
-    from statistics import NormalDist
-
-    return NormalDist().inv_cdf(0.975)
-
-
 def title_label(value: Column) -> Column:
     return F.initcap(F.replace(value, F.lit("_"), F.lit(" ")))
 
