@@ -766,8 +766,11 @@ def matching_summary(pool: DataFrame, members: DataFrame, unmatched: DataFrame)
         F.count_if((F.col("is_case") == 0) & ~F.col("valid")).alias("missing_control_match_features"),
     )
     left = unmatched.agg(F.count("*").alias("unmatched_cases"))
-    # Three frames of exactly one row each.
-    return roles.crossJoin(dropped).crossJoin(left)
+    # Three frames of one row each, stacked and read back as one row.
+    parts = [f.unpivot([], f.columns, "name", "n") for f in (roles, dropped, left)]
+    names = [*roles.columns, *dropped.columns, *left.columns]
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return stacked.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
 
 def match_edges(core: DataFrame, spec: MatchSpec, space: Geometry, limits: MatchLimits = MatchLimits()) -> DataFrame:

@@ -255,8 +255,9 @@ def fit_model(members: DataFrame, model: ModelSpec, predictor: str, *, checked:
     if not checked:
         require_single_use(members)
     packed = cut(packed_sets(members, model, predictor))
-    # Two frames of one row each, evaluated together.
-    counts = sample_counts(packed).crossJoin(attrition(packed)).first().asDict()
+    # Two frames of one row each, stacked so that one job evaluates both.
+    first, second = (f.unpivot([], f.columns, "name", "n") for f in (sample_counts(packed), attrition(packed)))
+    counts = {r["name"]: r["n"] for r in first.unionByName(second).collect()}
     lost = {name: counts.pop(name) for name in ATTRITION}
     result = dict.fromkeys(FIELDS)
     result.update(
