@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlane.llm import quality_rules as quality
+from cohortlane.llm import quality_rules as quality, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -27,3 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op6_quality_rules", quality.oracle())
 def op6(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op3_url_filter", url_filter.oracle())
+def op3(spark, sf_dir):
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
+@query("op9_warc_revisits", warc.ORACLE)
+def op9(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_vantage_trees", vantage_trees.ORACLE)
+def op10(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vantage_trees.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20, factor=2.0)
