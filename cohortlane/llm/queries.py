@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlane.llm import quality_rules as quality, url_filter, vantage_trees, warc
+from cohortlane.llm import quality_rules as quality, token_planes, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -44,3 +45,8 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return vantage_trees.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20, factor=2.0)
+
+
+@query("op8_token_planes")
+def op8(spark, sf_dir):
+    return token_planes.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
