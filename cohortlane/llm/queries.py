@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlane.llm import quality_rules as quality, token_planes, url_filter, vantage_trees, warc
+from cohortlane.llm import language_model, quality_rules as quality, source_mixing, token_planes, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -50,3 +50,16 @@ def op10(spark, sf_dir):
 @query("op8_token_planes")
 def op8(spark, sf_dir):
     return token_planes.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_source_mixing")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "text", source_mixing.token_count(F.col("text")).alias("n_tokens"))
+    return source_mixing.draws(docs, source_mixing.mixture(docs)).select(
+        "doc.doc_id", "doc.source", "doc.n_tokens", "epoch", "block", "block_key", "doc_key")
+
+
+@query("op2_stupid_backoff", language_model.ORACLE)
+def op2(spark, sf_dir):
+    return language_model.backoff_scores(table(spark, sf_dir, "documents"))
