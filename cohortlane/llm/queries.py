@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlane.llm import jaccard_join, language_model, quality_rules as quality, source_mixing, token_planes, url_filter, vantage_trees, warc
+from cohortlane.llm import jaccard_join, language_model, quality_rules as quality, repeated_bytes, source_mixing, token_planes, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -68,3 +68,8 @@ def op2(spark, sf_dir):
 @query("op4_jaccard_join")
 def op4(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_prefix_free_parsing")
+def op5(spark, sf_dir):
+    return repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
