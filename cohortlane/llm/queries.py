@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlane.llm import jaccard_join, language_model, quality_rules as quality, repeated_bytes, source_mixing, token_planes, url_filter, vantage_trees, warc
+from cohortlane.llm import jaccard_join, language_model, piece_lattice, quality_rules as quality, repeated_bytes, source_mixing, token_planes, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -73,3 +73,8 @@ def op4(spark, sf_dir):
 @query("op5_prefix_free_parsing")
 def op5(spark, sf_dir):
     return repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op7_piece_lattice")
+def op7(spark, sf_dir):
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
