@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlane.llm.components import connected_components
-from cohortlane.llm.text import coded, mixed, words
+from cohortlane.llm.text import coded, mixed, sliced, words
 from cohortlane.session import cut
 
 SHINGLE = 5
@@ -83,7 +83,7 @@ def shingle_sets(texts) -> list[np.ndarray]:
 
 
 def _signed(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         sets = shingle_sets(batch["text"])
         yield pd.DataFrame({
             "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
@@ -96,7 +96,7 @@ def _listed(frequent, above: int):
     """Listed shingles of the sets that large ones may link to: size ``above`` and more."""
     def run(batches):
         last = frequent.value
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for name, s in zip(batch["doc_id"], shingle_sets(batch["text"])):
                 if len(s) >= max(above, 1):
@@ -112,7 +112,7 @@ def _listed(frequent, above: int):
 def _enumerated(boundary: int):
     """Subsets of small sets: one row per subset, with the smaller of the two sizes that it stands for."""
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for name, s in zip(batch["doc_id"], shingle_sets(batch["text"])):
                 n = len(s)
@@ -128,7 +128,7 @@ def _enumerated(boundary: int):
 
 
 def _plain_sets(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         yield pd.DataFrame({"doc_id": batch["doc_id"], "elements": shingle_sets(batch["text"])})
 
 

@@ -45,3 +45,10 @@ def gathered(parts: list[np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np
     ends = np.cumsum(each)
     where = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each - starts[codes], each)
     return flat[where], ends
+
+
+def sliced(batches, rows: int = 500):
+    """Batches in slices of bounded size, so that word lists of long texts don't pile up."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
