@@ -27,6 +27,8 @@ from cohortlane.llm.text import coded, gathered
 from cohortlane.session import scratch_folder
 
 CHUNK_IDS = 1 << 16
+#: Texts encoded at a time.
+TOGETHER = 1000
 CHUNKS = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("planes", pa.list_(pa.binary())),
     ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())),
@@ -65,15 +67,24 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Ids of words that this worker has met, at most ``MOST_KEPT`` of them.
+KEPT: dict[tuple[str, bytes], np.ndarray] = {}
+MOST_KEPT = 250_000
+
+
 def encode(texts: list[str | None], path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each with the end id, and the end of each text.
 
-    The tokenizer never joins across white space, so each distinct word of the batch is encoded once.
+    The tokenizer never joins across white space, so each distinct word is encoded once for many texts.
     """
     codes, distinct, bounds = coded([(t or "").encode().split() + [b" "] for t in texts])
-    names = [w.decode() for w in distinct]
-    parts = [np.array(e.ids, dtype=np.uint32) for e in load_tokenizer(path).encode_batch(names, add_special_tokens=False)]
-    parts = [np.array([end_id], dtype=np.uint32) if name == " " else p for name, p in zip(names, parts)]
+    if len(KEPT) > MOST_KEPT:
+        KEPT.clear()
+    fresh = [w for w in distinct if (path, w) not in KEPT and w != b" "]
+    for w, found in zip(fresh, load_tokenizer(path).encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
+        KEPT[path, w] = np.array(found.ids, dtype=np.uint32)
+    end = np.array([end_id], dtype=np.uint32)
+    parts = [end if w == b" " else KEPT[path, w] for w in distinct]
     ids, ends = gathered(parts, codes)
     return ids, ends[bounds[1:] - 1]
 
@@ -103,9 +114,9 @@ def _chunks(path: str, end_id: int, size: int, kind: str):
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(names), 500):
-                ids, ends = encode(texts.slice(at, 500).to_pylist(), path, end_id)
-                docs += [[d, int(n)] for d, n in zip(names[at : at + 500], np.diff(ends, prepend=0))]
+            for at in range(0, len(names), TOGETHER):
+                ids, ends = encode(texts.slice(at, TOGETHER).to_pylist(), path, end_id)
+                docs += [[d, int(n)] for d, n in zip(names[at : at + TOGETHER], np.diff(ends, prepend=0))]
                 held = np.concatenate([held, ids])
                 while len(held) >= size:
                     yield chunk(size)
