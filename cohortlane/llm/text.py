@@ -36,17 +36,6 @@ def coded(lists: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, np.asarray(distinct, dtype=object), bounds
 
 
-def gathered(parts: list[np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``parts[code]`` of every code, end to end, and the running end of each."""
-    lengths = np.array([len(p) for p in parts], dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if len(parts) else lengths
-    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-    each = lengths[codes]
-    ends = np.cumsum(each)
-    where = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each - starts[codes], each)
-    return flat[where], ends
-
-
 def sliced(batches, rows: int = 500):
     """Batches in slices of bounded size, so that word lists of long texts don't pile up."""
     for batch in batches:

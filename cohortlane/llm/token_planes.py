@@ -23,7 +23,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cohortlane.llm.text import coded, gathered
+from cohortlane.llm.text import coded
 from cohortlane.session import scratch_folder
 
 CHUNK_IDS = 1 << 16
@@ -67,9 +67,37 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: Ids of words that this worker has met, at most ``MOST_KEPT`` of them.
-KEPT: dict[tuple[str, bytes], np.ndarray] = {}
-MOST_KEPT = 250_000
+#: A worker keeps the ids of at most so many words that it has met.
+MOST_KEPT = 400_000
+
+
+class Words:
+    """Ids of words, end to end, with the place of each word."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load_tokenizer(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots: dict[bytes, int] = {}
+        self.flat, self.starts, self.lengths = (np.zeros(0, dtype=t) for t in (np.uint32, np.int64, np.int64))
+
+    def places(self, distinct: list[bytes]) -> np.ndarray:
+        if len(self.slots) > MOST_KEPT:
+            self.clear()
+        fresh = [w for w in distinct if w not in self.slots]
+        if fresh:
+            names = b"\0".join(fresh).decode().split("\0") if not any(b"\0" in w for w in fresh) else [w.decode() for w in fresh]
+            found = [e.ids for e in self.tokenizer.encode_batch(names, add_special_tokens=False)]
+            lengths = np.array([len(ids) for ids in found], dtype=np.int64)
+            self.slots.update(zip(fresh, range(len(self.slots), len(self.slots) + len(fresh))))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.flat = np.concatenate([self.flat, np.array([i for ids in found for i in ids], dtype=np.uint32)])
+        return np.fromiter(map(self.slots.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+
+
+known_words = cache(Words)
 
 
 def encode(texts: list[str | None], path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,16 +105,15 @@ def encode(texts: list[str | None], path: str, end_id: int) -> tuple[np.ndarray,
 
     The tokenizer never joins across white space, so each distinct word is encoded once for many texts.
     """
-    codes, distinct, bounds = coded([(t or "").encode().split() + [b" "] for t in texts])
-    if len(KEPT) > MOST_KEPT:
-        KEPT.clear()
-    fresh = [w for w in distinct if (path, w) not in KEPT and w != b" "]
-    for w, found in zip(fresh, load_tokenizer(path).encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
-        KEPT[path, w] = np.array(found.ids, dtype=np.uint32)
-    end = np.array([end_id], dtype=np.uint32)
-    parts = [end if w == b" " else KEPT[path, w] for w in distinct]
-    ids, ends = gathered(parts, codes)
-    return ids, ends[bounds[1:] - 1]
+    codes, distinct, bounds = coded([(t or "").encode().split() for t in texts])
+    kept = known_words(path)
+    places = kept.places(list(distinct))[codes]
+    each = kept.lengths[places]
+    ends = np.cumsum(each)
+    where = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each - kept.starts[places], each)
+    text_ends = np.concatenate([[0], ends])[bounds[1:]]
+    ids = np.insert(kept.flat[where], text_ends, end_id)
+    return ids, text_ends + np.arange(1, len(texts) + 1)
 
 
 def _chunks(path: str, end_id: int, size: int, kind: str):
