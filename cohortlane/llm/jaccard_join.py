@@ -169,7 +169,9 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     sizes = {r["n"]: r["count"] for r in full.filter(F.col("n") <= 2 * MOST_SMALL).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, met / listed)
 
-    subsets = texts.mapInPandas(_enumerated(boundary), "doc_id long, n int, low int, subset binary")
+    few = cut(signed.filter(F.col("n").between(2, boundary)).select("doc_id").distinct())
+    subsets = _of_ids(texts, few, "left_semi").mapInPandas(
+        _enumerated(boundary), "doc_id long, n int, low int, subset binary")
     bucket = Window.partitionBy("subset")
     stars = subsets.withColumn("pivot", F.min(F.struct("n", "doc_id")).over(bucket)).filter("pivot.n = low")
     small = cut(stars.select(F.col("pivot.doc_id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct())
@@ -185,7 +187,10 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     entries = cut(entries.withColumn("pivot", F.min(F.struct("doc_id", "n")).over(Window.partitionBy("key", "band"))))
     near = entries.filter("doc_id <> pivot.doc_id").select(
         F.col("pivot.doc_id").alias("a"), F.col("pivot.n").alias("n_a"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
-    edges = verified(docs, near.distinct(), boundary).union(small)
+    near = near.groupBy("a", "n_a", "b", "n_b").count()
+    # lists of one group may have several pivots, so half of what links must share is asked for; the rest comes below
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    edges = verified(docs, near.filter(2 * F.col("count") >= least_shared(n_a, n_b)).drop("count"), boundary).union(small)
 
     named = connected_components(edges).select(F.col("node").alias("doc_id"), "component")
     placed = entries.select("key", "doc_id", "n").join(cut(named), "doc_id", "left").withColumn(
@@ -197,12 +202,16 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id"))
                    & (F.col("a.component") != F.col("b.component")) & alike(n_a, n_b) & (F.greatest(n_a, n_b) > boundary))
     counted = pairs.groupBy(F.col("a.doc_id").alias("a"), n_a.alias("n_a"), F.col("b.doc_id").alias("b"), n_b.alias("n_b")).count()
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    least = need(n_a, n_b) + F.least(prefix(n_a) - n_a, prefix(n_b) - n_b)
-    rest = verified(docs, counted.filter(F.col("count") >= least).drop("count"), boundary)
+    enough = F.col("count") >= least_shared(F.col("n_a"), F.col("n_b"))
+    rest = verified(docs, counted.filter(enough).drop("count"), boundary)
     return edges.union(rest).union(copies)
 
 
+def least_shared(n_a: Column, n_b: Column) -> Column:
+    """How many listed shingles linked sets share at least: what is not listed of either cannot make up for fewer."""
+    return need(n_a, n_b) + F.least(prefix(n_a) - n_a, prefix(n_b) - n_b)
+
+
 def alike(n_a: Column, n_b: Column) -> Column:
     """Whether sets of these sizes can link at all."""
     return need(n_a, n_b) <= F.least(n_a, n_b)
