@@ -39,7 +39,7 @@ PART, WHOLE = 80, 100
 #: Sets larger than this are never enumerated.
 MOST_SMALL = 16
 #: A shingle listed more often than this goes to the end of the order, for at most MOST_FREQUENT shingles.
-FREQUENT, MOST_FREQUENT = 30, 1 << 20
+FREQUENT, MOST_FREQUENT = 10, 1 << 22
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1 << 20
 
@@ -165,7 +165,7 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     bounded = F.least("count", F.lit(FREQUENT)).cast("double")
     met = often.agg(F.sum(bounded * (bounded - 1))).first()[0] or 0.0
     last = often.filter(F.col("count") > FREQUENT).orderBy(F.desc("count"), "key").limit(MOST_FREQUENT)
-    frequent = np.sort(np.array([r["key"] for r in last.collect()], dtype=np.int64))
+    frequent = np.sort(last.select("key").toPandas()["key"].to_numpy(dtype=np.int64))
     sizes = {r["n"]: r["count"] for r in full.filter(F.col("n") <= 2 * MOST_SMALL).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, met / listed)
 
@@ -173,8 +173,8 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     subsets = _of_ids(texts, few, "left_semi").mapInPandas(
         _enumerated(boundary), "doc_id long, n int, low int, subset binary")
     bucket = Window.partitionBy("subset")
-    stars = subsets.withColumn("pivot", F.min(F.struct("n", "doc_id")).over(bucket)).filter("pivot.n = low")
-    small = cut(stars.select(F.col("pivot.doc_id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct())
+    around = subsets.withColumn("pivot", F.min(F.struct("n", "doc_id")).over(bucket)).filter("pivot.n = low")
+    small = cut(around.select(F.col("pivot.doc_id").alias("a"), F.col("doc_id").alias("b")).filter("a <> b").distinct())
 
     above = -(-(boundary + 1) * PART // WHOLE)
     shared = spark.sparkContext.broadcast(frequent)
@@ -183,10 +183,13 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     one = Window.partitionBy("key")
     # sizes within a factor of WHOLE / PART share a band or lie in neighbouring ones
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(WHOLE / PART)))
-    entries = entries.withColumn("members", F.count("*").over(one)).filter("members > 1").withColumn("band", band)
-    entries = cut(entries.withColumn("pivot", F.min(F.struct("doc_id", "n")).over(Window.partitionBy("key", "band"))))
-    near = entries.filter("doc_id <> pivot.doc_id").select(
-        F.col("pivot.doc_id").alias("a"), F.col("pivot.n").alias("n_a"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
+    entries = cut(entries.withColumn("members", F.count("*").over(one)).filter("members > 1").drop("members"))
+    # the member that shares most of what it lists is the likeliest centre of a group
+    central = entries.groupBy("doc_id").agg((F.count("*") / prefix(F.first("n"))).alias("central"))
+    pivot = F.max(F.struct("central", (-F.col("doc_id")).alias("minus"), "n")).over(Window.partitionBy("key", "band"))
+    stars = entries.join(central, "doc_id").withColumn("band", band).withColumn("pivot", pivot)
+    near = stars.filter("doc_id <> -pivot.minus").select(
+        (-F.col("pivot.minus")).alias("a"), F.col("pivot.n").alias("n_a"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
     near = near.groupBy("a", "n_a", "b", "n_b").count()
     # lists of one group may have several pivots, so half of what links must share is asked for; the rest comes below
     n_a, n_b = F.col("n_a"), F.col("n_b")
