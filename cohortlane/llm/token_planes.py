@@ -97,7 +97,9 @@ class Words:
         return np.fromiter(map(self.slots.__getitem__, distinct), dtype=np.int64, count=len(distinct))
 
 
-known_words = cache(Words)
+@cache
+def known_words(path: str) -> Words:
+    return Words(path)
 
 
 def encode(texts: list[str | None], path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
