@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BLANK = "▁"
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 MOST_FOLDED = 32
 WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
