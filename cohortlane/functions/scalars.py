@@ -10,8 +10,8 @@ FLOATING = (T.DoubleType, T.FloatType)
 
 
 def age_on(birth_date: Column, reference: dt.date) -> Column:
-    """Completed calendar years at ``reference``; null for an unknown or later birth."""
-    birth = F.to_date(birth_date)
+    """Completed calendar years at ``reference``; null for an unknown, unreadable or later birth."""
+    birth = birth_date.try_cast("date")
     later_in_year = (F.month(birth) > reference.month) | (
         (F.month(birth) == reference.month) & (F.dayofmonth(birth) > reference.day)
     )

@@ -223,6 +223,10 @@ def fit_firth(sums: PatternSums, p: int, iterations: int, fixed: tuple | None =
     return Fit(full(fit.beta), fit.value, fit.score, fit.information, fit.converged, fit.iterations)
 
 
+class NotConverged(Exception):
+    """A profile fit, or the search for a bound, ended before it met its tolerance."""
+
+
 def profile_bound(sums: PatternSums, best: Fit, index: int, direction: int, width: float, iterations: int):
     """Where twice the drop of the profile reaches the 95 % quantile, in one direction; inf if it never does."""
     p = len(best.beta)
@@ -231,6 +235,8 @@ def profile_bound(sums: PatternSums, best: Fit, index: int, direction: int, widt
     def excess(value):
         nonlocal state
         state = fit_firth(sums, p, iterations, fixed=(index, value), start=state.beta)
+        if np.isfinite(state.value) and not state.converged:
+            raise NotConverged
         return 2.0 * (best.value - state.value) - CHI2_95
 
     centre = best.beta[index]
@@ -263,6 +269,8 @@ def profile_bound(sums: PatternSums, best: Fit, index: int, direction: int, widt
             inner, low = middle, now
             high = high / 2 if side == -1 else high
             side = -1
+    else:
+        raise NotConverged
     return outer
 
 

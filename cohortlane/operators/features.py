@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import ConceptSet, MeasurementFeature, StudySpec, SurveyFeature
 from ..errors import DataContractError
@@ -148,6 +148,8 @@ def survey_evidence(events: DataFrame, rules: DataFrame, cutoff: dt.date) -> Dat
     "An answer on the latest day is positive" is the same as "the latest positive day is the latest day",
     which is three maxima: no window over a person's answers, and the maxima combine before the shuffle.
     """
+    if isinstance(events.schema["event_date"].dataType, T.StringType):
+        events = events.withColumn("event_date", F.col("event_date").try_cast("timestamp"))
     rows = events.filter(F.to_date("event_date") <= F.lit(cutoff)).join(F.broadcast(rules), "question_id")
     value = evidence_number(F.col("value_as_number"), F.col("value_as_string"))
     listed = F.coalesce(F.array_contains("positive", F.col("answer_id")), F.lit(False))
@@ -242,7 +244,7 @@ def reduce_measurement(events: DataFrame, spec: MeasurementFeature, cutoff: dt.d
     value = finite(parsed(F.col("value")))
     rows = (
         events.withColumn("value", value)
-        .withColumn("event_date", F.to_timestamp("event_date"))
+        .withColumn("event_date", F.col("event_date").try_cast("timestamp"))
         .filter(
             F.col("event_date").between(F.lit(_days_back(cutoff, spec.lookback_days)), F.lit(cutoff))
             & F.col("unit_code").isin(*spec.unit_codes)
@@ -308,14 +310,20 @@ def resolve_study(source: OmopSource, study: StudySpec) -> dict[str, DataFrame]:
 
 
 def extract_features(source: OmopSource, study: StudySpec, resolved: dict | None = None) -> DataFrame:
-    """The participant feature frame, lazily: people with dated evidence, every declared feature."""
+    """The participant feature frame: people with dated evidence, every declared feature.
+
+    The population is written first, so that answers and measurements of others are dropped before they are
+    reduced.
+    """
     resolved = resolved or resolve_study(source, study)
     concepts = resolved["concepts"]
     conditions = concepts.filter(F.col("feature").isin(list(study.conditions)))
-    frame = demographics(source, study).join(dated_evidence(source, study, conditions), "person_id")
+    frame = cut(demographics(source, study).join(dated_evidence(source, study, conditions), "person_id"))
+    population = frame.select("person_id")
     if study.surveys:
         answers = reduce_surveys(
-            survey_events(source), resolved["surveys"], study.surveys, study.clinical_cutoff
+            survey_events(source).join(population, "person_id", "left_semi"),
+            resolved["surveys"], study.surveys, study.clinical_cutoff,
         )
         frame = frame.join(answers, "person_id", "left")
         for name, spec in study.surveys.items():
@@ -323,5 +331,6 @@ def extract_features(source: OmopSource, study: StudySpec, resolved: dict | None
     if study.measurements:
         measured = concepts.filter(F.col("feature").isin(list(study.measurements)))
         rows = measurement_rows(source, study, measured, resolved["units"])
+        rows = rows.join(population, "person_id", "left_semi")
         frame = frame.join(reduce_measurements(rows, list(study.measurements)), "person_id", "left")
     return frame.withColumn("person_id", F.col("person_id").cast("string"))

@@ -99,16 +99,14 @@ def with_stratum(frame: DataFrame, spec: MatchSpec) -> DataFrame:
     return frame.withColumn("stratum", key)
 
 
-def factor_levels(frame: DataFrame, names: list[str], limit: int = 1000) -> dict[str, list]:
-    """Sorted levels of each factor; the number of levels is checked before they are used as columns."""
+def factor_levels(frame: DataFrame, names: list[str]) -> dict[str, list]:
+    """Sorted levels of each factor: as many columns of the distance, so they belong on the driver."""
     if not names:
         return {}
     entries = F.array(*[
         F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("level")) for n in names
     ])
-    found = frame.select(F.inline(entries)).filter("level is not null").distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise DataContractError(f"More than {limit} factor levels in {names}")
+    found = frame.select(F.inline(entries)).filter("level is not null").distinct().collect()
     return {n: sorted(r["level"] for r in found if r["name"] == n) for n in names}
 
 
@@ -125,23 +123,33 @@ def distance_columns(pool: DataFrame, spec: MatchSpec) -> list[Column]:
 
 
 def pooled_covariance(pool: DataFrame, columns: list[Column]) -> np.ndarray:
-    """Within-role covariance pooled over roles, from one aggregate of sums and products."""
+    """Within-role covariance pooled over roles.
+
+    Values are taken from a centre near the mean and kept where they are not zero; products are summed per pair
+    of columns. With many indicators a row has few entries, and the plan does not grow with the pairs.
+    """
     p = len(columns)
-    named = pool.select("is_case", *[c.alias(f"x{i}") for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    rows = named.groupBy("is_case").agg(
-        F.count("*").alias("n"),
-        *[F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs],
-    ).collect()
-    total = np.zeros((p, p))
-    weight = 0
-    for row in rows:
-        if row["n"] < 2:
-            continue
-        for i, j in pairs:
-            total[i, j] += (row["n"] - 1) * row[f"c{i}_{j}"]
-            total[j, i] = total[i, j]
-        weight += row["n"] - 1
+    values = pool.select("is_case", F.array(*columns).alias("x"))
+    means = {r["i"]: r["m"] for r in values.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m")).collect()}
+    # Indicators stay as they are, so that their zeros drop out.
+    centre = [0.0 if 0.0 <= means.get(i, 0.0) <= 1.0 else float(means[i]) for i in range(p)]
+    shifted = F.zip_with("x", F.lit(centre), lambda v, c: v - c)
+    entries = F.filter(F.transform(shifted, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda e: e["v"] != 0)
+    sparse = values.select("is_case", entries.alias("e"))
+    ones = F.array(F.struct(F.lit(p).alias("i"), F.lit(1.0).alias("v")))  # column p: the count and the sums
+    left = sparse.select("is_case", F.concat("e", ones).alias("e"), F.explode(F.concat("e", ones)).alias("a"))
+    pairs = left.select("is_case", "a", F.explode("e").alias("b")).filter("a.i <= b.i")
+    sums = pairs.groupBy("is_case", F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(F.sum(F.col("a.v") * F.col("b.v")).alias("s"))
+    raw: dict = {}
+    for r in sums.collect():
+        matrix = raw.setdefault(r["is_case"], np.zeros((p + 1, p + 1)))
+        matrix[r["i"], r["j"]] = matrix[r["j"], r["i"]] = r["s"]
+    total, weight = np.zeros((p, p)), 0.0
+    for _, matrix in sorted(raw.items()):
+        n = matrix[p, p]
+        if n >= 2:
+            total += matrix[:p, :p] - np.outer(matrix[:p, p], matrix[:p, p]) / n
+            weight += n - 1
     return total / max(weight, 1)
 
 
@@ -542,10 +550,11 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
         state = cut(
             state.join(progress, "stratum", "left").select(
                 "stratum", "n", (F.col("cursor") + F.coalesce("served", F.lit(0))).alias("cursor"),
-                # Too little was fetched when nobody could be served; fetch more of everything next time.
+                # Too little was fetched when few could be served: fetch more next time, until a round goes well.
                 F.when(F.col("served") == 0, F.col("growth") * 4)
-                .when(F.col("served") < limits.chunk // 8, F.col("growth") * 2)
-                .otherwise(F.col("growth")).alias("growth"),
+                .when(2 * F.col("served") < F.least(F.lit(limits.chunk), F.col("n") * ratio - F.col("cursor")),
+                      F.col("growth") * 2)
+                .otherwise(1).alias("growth"),
             )
         )
         rounds += 1
@@ -579,20 +588,21 @@ def _cells_in_reach(kinds: DataFrame, free: DataFrame, space: Geometry, limits:
 def _slices(reached: DataFrame, kinds: DataFrame, free: DataFrame, controls: DataFrame, limits: MatchLimits):
     """(stratum, values, ids, truncated): the next free ids of each reached cell.
 
-    A cell offers twice what its own value's agents want plus an even share of the chunk; the total stays a
-    small multiple of the chunk, and a cell that runs dry early only ends the round early.
+    A cell offers twice what its own value's agents want plus an even share of the chunk, times the growth of
+    its stratum, which doubles while rounds end early because a cell ran dry. Cells that no case stands on
+    grow as well, so the rounds for one far cell are logarithmic in what is wanted of it.
     """
-    counted = reached.groupBy("stratum").agg(F.count("*").alias("reached"))
+    growth = kinds.groupBy("stratum").agg(F.max("growth").alias("pace"))
+    counted = reached.groupBy("stratum").agg(F.count("*").alias("reached")).join(growth, "stratum")
     offer = (
         free.join(broadcast_if_small(reached), ["stratum", "values"], "left_semi")
         .join(broadcast_if_small(counted), "stratum")
         .join(broadcast_if_small(kinds), ["stratum", "values"], "left")
     )
     even = F.ceil(F.lit(4 * limits.chunk) / F.col("reached"))
-    top_growth = F.coalesce(F.col("growth"), F.lit(1))
     length = F.least(
-        F.col("supply") - F.col("taken"),
-        (F.coalesce("wanting", F.lit(0)) * 2 + even) * top_growth + 16,
+        F.col("supply") - F.col("taken"), F.lit(limits.chunk),
+        (F.coalesce("wanting", F.lit(0)) * 2 + even + 16) * F.col("pace"),
     )
     offer = cut(
         offer.select(
@@ -794,7 +804,8 @@ def match_groups(
     pool = pool if stored else cut(pool)
     space = geometry(pool.filter("valid"), spec)
     core = core_pool(pool, spec, space)
-    members = cut(layout_members(match_edges(core, spec, space, limits), pool, spec))
+    edges = cut(match_edges(core, spec, space, limits))  # the layout reads them twice
+    members = cut(layout_members(edges, pool, spec))
     found = {r["problem"]: r["n"] for r in broken_rules(members, spec).collect()}
     if not found.pop("sets"):
         raise DataContractError("No set meets the matching rules.")

@@ -111,16 +111,12 @@ def sample_counts(packed: DataFrame) -> DataFrame:
     )
 
 
-def level_lists(packed: DataFrame, model: ModelSpec, limit: int = 500) -> list[list[str]]:
-    """Sorted levels of each categorical term in the analysed rows; their number is checked."""
+def level_lists(packed: DataFrame, model: ModelSpec) -> list[list[str]]:
+    """Sorted levels of each categorical term in the analysed rows: as many terms of the model."""
     if not model.categorical:
         return []
     rows = packed.filter("good").select(F.explode("rows").alias("r"))
-    found = (
-        rows.select(F.posexplode("r.levels").alias("at", "level")).distinct().limit(limit + 1).collect()
-    )
-    if len(found) > limit:
-        raise DataContractError(f"More than {limit} levels in {model.categorical}")
+    found = rows.select(F.posexplode("r.levels").alias("at", "level")).distinct().collect()
     return [sorted(r["level"] for r in found if r["at"] == i) for i in range(len(model.categorical))]
 
 
@@ -225,8 +221,10 @@ def firth_result(sets: DataFrame, names: list[str], predictor: str, iterations:
         "converged": best.converged,
         "iterations": best.iterations,
     }
-    if not best.converged or not np.isfinite(best.value):
+    if not np.isfinite(best.value) or not np.isfinite(best.beta).all():
         return {**result, "reason": "firth_interval_or_fit_failed"}
+    if not best.converged:
+        return {**result, "reason": "firth_engine_warning_requires_review"}
     try:
         spread = np.sqrt(np.linalg.inv(best.information)[at, at])
         null = est.fit_firth(sums, p, iterations, fixed=(at, 0.0), start=best.beta)
@@ -234,6 +232,8 @@ def firth_result(sets: DataFrame, names: list[str], predictor: str, iterations:
         high = est.profile_bound(sums, best, at, 1, 2 * spread, iterations)
     except np.linalg.LinAlgError:
         return {**result, "reason": "firth_interval_or_fit_failed"}
+    except est.NotConverged:
+        return {**result, "reason": "firth_engine_warning_requires_review"}
     ratio = max(0.0, 2 * (best.value - null.value))
     beta, low, high = (float(v / scale[at]) for v in (best.beta[at], low, high))
     if not all(map(math.isfinite, (beta, low, high, ratio))):

@@ -511,7 +511,7 @@ def check_coverage(
 
 
 def require_complete(coverage: DataFrame) -> None:
-    missing = coverage.filter("Status = 'Missing'").orderBy("seq").limit(20).collect()
+    missing = coverage.filter("Status = 'Missing'").orderBy("seq").collect()
     if missing:
         found = "; ".join(f"{r['Report']}: {r['Content']} ({r['Details']})" for r in missing)
         raise DataContractError(f"Required content is missing: {found}")

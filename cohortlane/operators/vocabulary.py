@@ -22,9 +22,10 @@ def _literal(source: OmopSource, rows: list, schema: str) -> DataFrame:
 
 
 def _fail_on(problems: DataFrame, what: str) -> None:
-    found = problems.limit(20).collect()
+    found = problems.limit(21).collect()
     if found:
-        raise DataContractError(f"{what}: {[tuple(r) for r in found]}")
+        more = " and more" if len(found) > 20 else ""
+        raise DataContractError(f"{what}: {[tuple(r) for r in found[:20]]}{more}")
 
 
 def concept_seeds(source: OmopSource, sets: dict[str, ConceptSet]) -> DataFrame:

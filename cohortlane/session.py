@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from .errors import DataContractError
+
 #: A side is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 500_000
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a new local one only where none is named."""
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Where none is named, a session inside one machine gets a new folder there; on a cluster that is an error,
+    as executors could not read each other's files.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise DataContractError("Name a folder that all executors share in spark.checkpoint.dir.")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cohortlane-checkpoint-"))
     return context.getCheckpointDir()
 

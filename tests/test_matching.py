@@ -128,34 +128,77 @@ def test_replacement_takes_each_cases_nearest(spark, limits):
         assert edges_of(frame, spec, limits) == one_by_one(rows, spec, ["age"], gap)
 
 
-def test_propensity_matches_on_the_logit(spark, people):
-    spec = MatchSpec(method="propensity", distance=["age", "bmi"], ratio=1)
-    result = match_groups(people, spec)
-    sizes = {r["count"] for r in result.members.groupBy("match_set_id").count().collect()}
-    assert sizes == {2}
+def test_propensity_is_a_one_dimensional_match_on_the_fitted_logit(spark, people):
+    """The same sets come from matching on the logit as an ordinary column with a caliper of its own."""
+    spec = MatchSpec(method="propensity", distance=["age", "hdl"], ratio=1)
     pool = match_pool(people, spec)
     space = geometry(pool.filter("valid"), spec)
-    logits = pool.filter("valid").select("person_id", space.coordinates[0].alias("l")).toPandas().set_index("person_id").l
-    members = result.members.select("match_set_id", "person_id", "is_case").toPandas()
-    for _, group in members.groupby("match_set_id"):
-        pair = [logits[p] for p in group.person_id]
-        assert abs(pair[0] - pair[1]) <= space.facts["caliper"] + 1e-9
-    wide = MatchLimits(stratum_rows=1, stratum_pairs=0, chunk=200, window=32)
-    assert fingerprint(match_groups(people, spec, limits=wide).members) == fingerprint(result.members)
+    scored = pool.filter("valid").select("person_id", "is_case", space.coordinates[0].alias("logit")).toPandas()
+    a, b, c = space.facts["coefficients"]
+    plain = people.select("person_id", "age", "hdl").toPandas().set_index("person_id")
+    own = scored.set_index("person_id").logit
+    assert np.allclose(own, a + b * plain.age[own.index] + c * plain.hdl[own.index], atol=1e-8)
+    plain_spec = MatchSpec(distance=["logit"], calipers={"logit": space.facts["caliper"]}, ratio=1)
+    expected = one_by_one(scored, plain_spec, ["logit"], lambda x, y: abs(x.logit - y.logit))
+    for limits in (SMALL, MatchLimits(stratum_rows=1, stratum_pairs=0, chunk=40, window=16)):
+        members = match_groups(people, spec, limits=limits).members
+        found = {(r.match_set_id[4:], r.person_id) for r in members.filter("is_case = 0").collect()}
+        assert found == {(case, control) for case, _, control in expected}
 
 
 def test_sets_keep_their_rules_and_do_not_depend_on_order(people, study, matched):
-    shuffled = match_groups(people.orderBy(F.rand(19)).repartition(6), study.matching)
-    assert fingerprint(shuffled.members) == fingerprint(matched.members)
-    members = matched.members
-    assert members.count() == members.select("person_id").distinct().count()
-    assert members.agg(F.max(F.abs("match_difference_age"))).first()[0] <= 3
-    sizes = {r["count"] for r in members.groupBy("match_set_id").count().collect()}
-    assert sizes <= {2, 3}
-    weights = members.filter("is_case = 0").groupBy("match_set_id").agg(F.sum("weight").alias("w")).collect()
-    assert all(abs(r.w - 1) < 1e-12 for r in weights)
-    assert criteria_violations(members, study.matching).count() == 0
-    assert membership_violations(members).filter("n > 0").count() == 0
+    """Each set read on its own, in plain Python, from rows that were handed over backwards."""
+    again = match_groups(people.orderBy(F.desc("age"), F.desc("person_id")).repartition(5, "hdl"), study.matching)
+    assert fingerprint(again.members) == fingerprint(matched.members)
+    sets, seen = {}, set()
+    for r in matched.members.collect():
+        assert r.person_id not in seen
+        seen.add(r.person_id)
+        sets.setdefault(r.match_set_id, []).append(r)
+    for name, rows in sets.items():
+        rows.sort(key=lambda r: r.control_order)
+        case, controls = rows[0], rows[1:]
+        assert case.is_case == 1 and name == f"set_{case.person_id}" and case.weight == 1
+        assert [c.control_order for c in controls] == list(range(1, len(controls) + 1)) and 1 <= len(controls) <= 2
+        for c in controls:
+            assert c.is_case == 0 and c.sex_at_birth == case.sex_at_birth and c.weight == 1 / len(controls)
+            assert c.match_difference_age == c.age - case.age and abs(c.match_difference_age) <= 3
+    assert criteria_violations(matched.members, study.matching).isEmpty()
+    assert membership_violations(matched.members).filter("n > 0").isEmpty()
+
+
+def test_one_far_cell_takes_few_rounds(spark, monkeypatch):
+    """All cases want one value that no case has, beside many cells that nobody wants."""
+    import cohortlane.operators.matching as matching
+
+    rounds = []
+    plain = matching._slices
+    monkeypatch.setattr(matching, "_slices", lambda *a: rounds.append(1) or plain(*a))
+    cases = [(f"a{i:03d}", 1, 0.0) for i in range(200)]
+    controls = [(f"b{i:03d}", 0, 5.0) for i in range(260)] + [(f"c{i:03d}", 0, 100.0 + i) for i in range(300)]
+    rows = pd.DataFrame(cases + controls, columns=["person_id", "is_case", "age"])
+    spec = MatchSpec(distance=["age"], ratio=1)
+    limits = MatchLimits(stratum_rows=1, stratum_pairs=10**9, chunk=200, window=8)
+    assert edges_of(spark.createDataFrame(rows), spec, limits) == {(f"a{i:03d}", 1, f"b{i:03d}") for i in range(200)}
+    assert len(rounds) <= 6
+
+
+def test_factors_of_many_levels_are_measured_whole(spark):
+    """The pooled covariance of a factor with over a thousand levels, against numpy."""
+    from cohortlane.operators.matching import distance_columns, pooled_covariance
+
+    rows = pd.DataFrame({
+        "person_id": [f"p{i}" for i in range(2100)], "is_case": [i % 3 == 0 for i in range(2100)], "valid": True,
+        "age": [30.0 + i % 41 for i in range(2100)], "site": [f"site{(i * 7) % 1010:04d}" for i in range(2100)],
+    })
+    rows["is_case"] = rows["is_case"].astype(int)
+    spec = MatchSpec(distance=["age", "site"], categorical=["site"])
+    frame = spark.createDataFrame(rows)
+    found = pooled_covariance(frame, distance_columns(frame, spec))
+    x = np.column_stack([rows.age, *[(rows.site == s).astype(float) for s in sorted(set(rows.site))[1:]]])
+    parts = [(rows.is_case == role).to_numpy() for role in (0, 1)]
+    expected = sum((m.sum() - 1) * np.cov(x[m].T) for m in parts) / (len(rows) - 2)
+    assert np.allclose(found, expected, atol=1e-10)
 
 
 def test_minimum_controls_drop_sets_and_name_the_unmatched(spark):
@@ -220,27 +263,21 @@ def test_distributed_numbering_and_running_totals(spark):
     assert (found.sort_index() == rows.assign(u=rows.groupby("k").w.cumsum()).set_index("v")["u"]).all()
 
 
-def test_balance_uses_the_full_pool(people, matched):
-    frame = people.toPandas()
-    cases, controls = frame[frame.is_case == 1], frame[frame.is_case == 0]
-    sd = cases.age.std(ddof=1)
-    members = matched.members.toPandas()
-    mc, mk = members[members.is_case == 1], members[members.is_case == 0]
-    after = (np.average(mc.age, weights=mc.weight) - np.average(mk.age, weights=mk.weight)) / sd
-    table = {r.variable: r for r in matched.balance.collect()}
-    row = table["age"]
-    assert row.type == "Contin."
-    assert row.diff_before == pytest.approx((cases.age.mean() - controls.age.mean()) / sd, abs=1e-10)
-    assert row.diff_after == pytest.approx(after, abs=1e-10)
-    assert row.v_ratio_before == pytest.approx(cases.age.var(ddof=1) / controls.age.var(ddof=1), abs=1e-10)
-    share = (cases.sex_at_birth == "male").mean()
-    expected = (share - (controls.sex_at_birth == "male").mean()) / np.sqrt(share * (1 - share))
-    assert table["sex_at_birth_male"].diff_before == pytest.approx(expected, abs=1e-10)
-    assert table["sex_at_birth_male"].v_ratio_before is None and len(table) == 2
-
-
-def test_constant_strata_are_marked(people):
-    spec = MatchSpec(exact=["sex_at_birth", "race", "ethnicity"], calipers={"age": 3}, ratio=2)
-    table = {r.variable: r for r in match_groups(people, spec).balance.collect()}
-    for name in ("race", "ethnicity"):
-        assert table[name].type == "Constant" and table[name].diff_after is None
+def test_balance_before_is_of_the_pool_and_after_of_the_sets(spark):
+    """Four cases and six controls, worked out by hand; one control stays unmatched."""
+    rows = [("a", 1, 40, "f"), ("b", 1, 44, "f"), ("c", 1, 50, "m"), ("d", 1, 54, "m"),
+            ("k", 0, 41, "f"), ("l", 0, 43, "f"), ("m", 0, 49, "m"), ("n", 0, 55, "m"), ("o", 0, 90, "m"), ("p", 0, 42, "f")]
+    people = spark.createDataFrame(rows, "person_id string, is_case int, age int, sex string")
+    result = match_groups(people, MatchSpec(exact=["sex"], calipers={"age": 2}, ratio=1))
+    chosen = {r.match_set_id[4:]: r.person_id for r in result.members.filter("is_case = 0").collect()}
+    assert chosen == {"a": "k", "b": "l", "c": "m", "d": "n"}
+    table = {r.variable: r for r in result.balance.collect()}
+    spread = np.std([40, 44, 50, 54], ddof=1)
+    age = table.pop("age")
+    assert age.diff_before == pytest.approx((47 - 320 / 6) / spread) and age.diff_after == pytest.approx(0, abs=1e-12)
+    assert age.v_ratio_before == pytest.approx(np.var([40, 44, 50, 54], ddof=1) / np.var([41, 43, 49, 55, 90, 42], ddof=1))
+    (name, sex), = table.items()
+    assert name in ("sex_f", "sex_m") and abs(sex.diff_before) == pytest.approx(0, abs=1e-12) and sex.v_ratio_before is None
+    one = people.withColumn("site", F.lit("only"))
+    table = {r.variable: r for r in match_groups(one, MatchSpec(exact=["site"], calipers={"age": 9}, ratio=1)).balance.collect()}
+    assert table["site"].type == "Constant" and table["site"].diff_before is None and table["site"].diff_after is None

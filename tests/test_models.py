@@ -54,8 +54,8 @@ def test_one_to_one_sets_have_a_closed_form(spark):
 def test_conditional_fit_agrees_with_the_likelihood(matched, limit, monkeypatch):
     monkeypatch.setattr(est.PatternSums, "limit", limit)
     monkeypatch.setattr(est.PatternSums.__init__, "__defaults__", (None, None, None, limit))
-    row = fit_model(matched.members, model(predictors=["condition"], covariates=["age"]), "condition")
-    beta, error = conditional_by_hand(matched.members.toPandas(), ["condition", "age"])
+    row = fit_model(matched.members, model(predictors=["reflux"], covariates=["age"]), "reflux")
+    beta, error = conditional_by_hand(matched.members.toPandas(), ["reflux", "age"])
     assert row["status"] == "estimated", row
     assert row["coefficient"] == pytest.approx(beta[0], abs=1e-8)
     assert row["standard_error"] == pytest.approx(error[0], abs=1e-8)
@@ -131,34 +131,62 @@ def test_invariant_terms_are_conditioned_out(spark):
     assert row["coefficient"] == pytest.approx(math.log(5 / 4), abs=1e-9)
 
 
-def test_attrition_counts_from_the_unrestricted_sample(matched):
-    members = matched.members
-    target = members.filter("is_case = 1").orderBy("match_set_id").first()
-    size = members.filter(F.col("match_set_id") == target.match_set_id).count()
-    flagged = members.withColumn("included", (F.col("person_id") != target.person_id).cast("int"))
-    spec = ModelSpec.from_dict({
-        "name": "r", "predictors": ["condition"], "covariates": ["age"],
-        "restriction": {"field": "included", "value": 1},
-    })
-    row = fit_model(flagged, spec, "condition")
-    assert row["rows_before"] == members.count() and row["rows_removed_by_restriction"] == 1
-    assert row["rows_removed"] == size and row["sets_removed"] == 1
-    lost = members.withColumn("bmi", F.when(F.col("person_id") != target.person_id, F.col("bmi")))
-    packed = packed_sets(lost, ModelSpec(name="b", predictors=("condition",), covariates=("bmi",)), "condition")
-    assert attrition(packed).first().sets_removed == 1
-
-
-def test_constant_predictors_keep_their_place_in_the_family(matched):
-    members = matched.members.withColumn("constant", F.lit(0))
-    spec = ModelSpec(name="primary", predictors=("condition", "constant"), covariates=("age",), primary=True)
-    rows = {r.predictor: r for r in fit_models(members, (spec,)).collect()}
-    assert {r.family_size for r in rows.values()} == {2}
-    assert rows["constant"].status == "non_estimable" and rows["constant"].p_holm is None
-    assert rows["condition"].p_holm == pytest.approx(min(1, 2 * rows["condition"].p_value))
+def test_attrition_by_hand(spark):
+    """Five sets of three: one loses its case to the restriction, one its only remaining controls, one a value."""
+    rows = []
+    for i in range(5):
+        for j in range(3):
+            rows.append((f"p{i}{j}", f"set_{i}", int(j == 0), float((i + j) % 2), float(j), 1))
+    lost = {"p10": 0, "p21": 0, "p22": 0, "p31": 0}
+    rows = [(*r[:5], lost.get(r[0], 1)) for r in rows]
+    schema = "person_id string, match_set_id string, is_case int, x double, z double, inside int"
+    members = spark.createDataFrame(rows, schema).withColumn("z", F.when(F.col("person_id") != "p40", F.col("z")))
+    spec = model(covariates=["z"], restriction={"field": "inside", "value": 1})
+    row = attrition(packed_sets(members, spec, "x")).first().asDict()
+    assert row["rows_before"] == 15 and row["rows_removed_by_restriction"] == 4
+    # whole sets 1, 2 and 4 go, and of set 3 the one control outside
+    assert row["sets_removed"] == 3 and row["rows_removed"] == 10
+    assert fit_model(members, spec, "x")["sets_analyzed"] == 2
+
+
+def test_models_without_estimate_still_count_in_their_family(spark):
+    sets = [(1.0, [0.0, 1.0])] * 14 + [(0.0, [1.0, 0.0])] * 9 + [(1.0, [1.0, 0.0])] * 6
+    members = sets_frame(spark, sets, lambda n: float(n * 7 % 5)).withColumn("all_same", F.lit(1.0)).withColumn(
+        "y", F.when(F.col("z") > 2, 1.0).otherwise(0.0))
+    spec = ModelSpec(name="three", predictors=("x", "y", "all_same"), primary=True)
+    found = {r.predictor: r for r in fit_models(members, (spec,)).collect()}
+    assert [r.family_size for r in found.values()] == [3, 3, 3]
+    assert (found["all_same"].status, found["all_same"].p_value, found["all_same"].p_holm) == ("non_estimable", None, None)
+    first, second = sorted((found["x"], found["y"]), key=lambda r: r.p_value)
+    assert first.p_holm == pytest.approx(min(1, 3 * first.p_value))
+    assert second.p_holm == pytest.approx(min(1, max(3 * first.p_value, 2 * second.p_value)))
+
+
+def test_covariates_of_many_levels_end_in_a_reason(spark):
+    members = sets_frame(spark, [(float(i % 2), [float(i % 3 == 0)]) for i in range(260)], float).withColumn(
+        "born", F.concat(F.lit("day "), F.col("z").cast("string")))
+    row = fit_model(members, model(covariates=["born"], categorical=["born"]), "x")
+    assert row["status"] == "non_estimable" and row["reason"] == "rank_deficient_conditional_design"
+
+
+@pytest.mark.parametrize("spoiled", ["estimate", "profile"])
+def test_firth_fits_that_stop_early_are_marked(spark, monkeypatch, spoiled):
+    sets = [(1.0, [0.0])] * 12 + [(0.0, [1.0])] * 5 + [(1.0, [1.0])] * 4
+    members = sets_frame(spark, sets, lambda n: float(n % 4))
+    plain = est.fit_firth
+
+    def stopping(sums, p, iterations, fixed=None, start=None):
+        fit = plain(sums, p, iterations, fixed=fixed, start=start)
+        early = fixed is None if spoiled == "estimate" else fixed is not None and fixed[1] != 0.0
+        return est.Fit(fit.beta, fit.value, fit.score, fit.information, fit.converged and not early, fit.iterations)
+
+    monkeypatch.setattr(est, "fit_firth", stopping)
+    row = fit_model(members, model(method="firth", covariates=["z"]), "x")
+    assert row["status"] == "non_estimable" and row["reason"] == "firth_engine_warning_requires_review"
 
 
 def test_reused_people_and_other_values_are_rejected(spark, matched):
     with pytest.raises(DataContractError):
-        fit_models(matched.members.unionByName(matched.members.limit(1)), (model(predictors=["condition"]),))
+        fit_models(matched.members.unionByName(matched.members.limit(1)), (model(predictors=["reflux"]),))
     with pytest.raises(DataContractError):
         fit_model(sets_frame(spark, [(2.0, [0.0])] * 3), model(), "x")
