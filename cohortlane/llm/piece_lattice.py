@@ -1,15 +1,15 @@
-"""SentencePiece encoding and decoding over a relational lattice of substrings.
+"""SentencePiece encoding and decoding.
 
-Texts are dealt into blocks of bounded size. In each block the distinct words (a run of blanks with what follows it; no
-piece crosses the border of two) are exploded into their substrings of at most the longest piece, joined to the table of
-pieces, and grouped back by word: the lattice, a map from begin and end to the priority of a piece. A higher-order
-``aggregate`` folds it into the word's segmentation. Blocks stay where they are: one shuffle of the texts serves words,
-lattice and documents alike, and a last step per block spells documents from their words.
+A text is parted into words (a run of blanks with what follows it; no piece crosses the border of two). ``fold_words``
+encodes a table of words relationally: words are exploded into their substrings of at most the longest piece, joined to
+the table of pieces, and grouped back into a lattice, a map from begin and end to the priority of a piece, which a
+higher-order ``aggregate`` folds into borders. The model at hand is a byte-pair model. A fold for the best sum of scores
+(Viterbi) would give other pieces than its own encoder, so the fold applies merges: each step joins the two neighbours
+whose union is the piece of best priority, leftmost first, until none is left.
 
-The model at hand is a byte-pair model. A fold for the best sum of scores (Viterbi) would give other pieces than its own
-encoder, so the fold applies merges: the state is the list of borders, each step joins the two neighbours whose union is
-the piece of best priority, leftmost first, until none is left. Characters outside the table become byte pieces. Words
-longer than ``MOST_FOLDED`` characters, where a quadratic fold is too slow, are merged with a heap in the last step.
+That fold costs too much for the words of a whole corpus (see README), so ``encode`` applies the same merges inside
+tasks, in ``n log n`` per word, to each word that a worker has not met, and shuffles nothing. Characters outside the
+table become byte pieces.
 
 A null or empty text has no pieces. Rows that repeat an id each get their row, rows without id too; an empty table gives
 an empty result. Columns other than ``doc_id`` and ``text`` are ignored.
@@ -25,9 +25,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from cohortlane.llm.text import sliced
+
 BLANK = "▁"
-BLOCK_CHARS = 4_000_000
+#: Words that ``fold_words`` takes have at most so many characters.
 MOST_FOLDED = 32
+#: A worker keeps the pieces of at most so many words.
+MOST_KEPT = 400_000
 WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
@@ -86,7 +90,7 @@ def fold_merges(n: Column, lattice: Column) -> Column:
 
 
 def merged(word: str, priorities: dict[str, int]) -> list[str]:
-    """The pieces of a long word: the same merges, taken from a heap."""
+    """The pieces of a word: the same merges as those of ``fold_merges``, taken from a heap."""
     n = len(word)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     end, alive, heap = list(range(1, n + 1)), [True] * n, []
@@ -113,65 +117,59 @@ def merged(word: str, priorities: dict[str, int]) -> list[str]:
     return [word[i : end[i]] for i in range(n) if alive[i]]
 
 
-def _spell(path: str):
-    def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        priorities, ids, _, bytes_ = model(path)
+def fold_words(words: DataFrame, path: str) -> DataFrame:
+    """``(word, borders)`` of the distinct words of 2 to ``MOST_FOLDED`` characters, blanks marked, that hold a piece."""
+    longest = max(len(p) for p in model(path)[0])
+    n = F.length("word")
+    words = words.select("word").filter(n.between(2, MOST_FOLDED)).distinct()
+    begins = words.select("word", n.alias("n"), F.explode(F.sequence(F.lit(1), n - 1)).alias("begin"))
+    substrings = begins.select("word", "n", "begin", F.explode(
+        F.sequence(F.lit(2), F.least(F.lit(longest), F.col("n") - F.col("begin") + 1))).alias("size"))
+    edges = substrings.select(
+        "word", "n", (F.col("begin") * 64 - 64 + F.col("begin") - 1 + F.col("size")).alias("place"),
+        F.expr("substring(word, begin, size)").alias("piece"),
+    ).join(F.broadcast(piece_table(words.sparkSession, path)), "piece")
+    lattice = edges.groupBy("word", "n").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "priority"))).alias("lattice"))
+    return lattice.select("word", fold_merges(F.col("n"), F.col("lattice")).alias("borders"))
 
-        def numbers(pieces: list[str]) -> list[int]:
-            found = []
-            for p in pieces:
-                i = ids.get(p)
-                found += [i] if i is not None else [bytes_[b] for b in p.encode()]
-            return found
 
-        known: dict[str, list[int]] = {}
-        for word, borders in zip(words["word"], words["borders"]):
-            b = borders.tolist()
-            known[word] = numbers([word[i:j] for i, j in zip(b, b[1:])])
+#: Pieces of the words that this worker has met, by model.
+KEPT: dict[str, dict[str, list[int]]] = {}
+
+
+def _encoded(path: str):
+    def run(batches):
+        priorities, ids, _, bytes_ = model(path)
+        kept = KEPT.setdefault(path, {})
 
         def of(word: str) -> list[int]:
-            found = known.get(word)
-            if found is None:  # without any mergeable piece, or too long to fold
-                found = known[word] = numbers(merged(word, priorities) if len(word) > MOST_FOLDED else list(word))
+            found = kept.get(word)
+            if found is None:
+                found = []
+                for p in merged(word, priorities):
+                    i = ids.get(p)
+                    found += [i] if i is not None else [bytes_[b] for b in p.encode()]
+                kept[word] = found
             return found
 
-        encoded = [
-            np.array([i for word in WORD.findall(text) for i in of(word)] if text else [], dtype=np.int32)
-            for text in docs["marked"]
-        ]
-        return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "ids": encoded})
+        for batch in sliced(batches):
+            if len(kept) > MOST_KEPT:
+                kept.clear()
+            encoded = [
+                np.array([i for word in WORD.findall(text) for i in of(word)] if text else [], dtype=np.int32)
+                for text in batch["marked"]
+            ]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": encoded})
 
     return run
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_pieces, ids)`` per row, as the model's own encoder gives them."""
-    spark = docs.sparkSession
-    text = marked(F.col("text"))
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(-(-chars // BLOCK_CHARS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spread = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", text.alias("marked"),
-    ).repartition(blocks, "block")
-    # the least id is asked for so that words and documents read the same columns of one shuffle
-    words = spread.select("block", "doc_id", F.explode(F.regexp_extract_all(
-        "marked", F.lit(f"({WORD.pattern})"), F.lit(1))).alias("word"))
-    words = words.filter(F.length("word").between(2, MOST_FOLDED)).groupBy("block", "word").agg(F.min("doc_id").alias("any"))
-    table = F.broadcast(piece_table(spark, path))
-    longest = max(len(p) for p in model(path)[0])
-    n = F.length("word")
-    begins = words.select("block", "word", "any", n.alias("n"), F.explode(F.sequence(F.lit(1), n - 1)).alias("begin"))
-    substrings = begins.select("block", "word", "any", "n", "begin", F.explode(
-        F.sequence(F.lit(2), F.least(F.lit(longest), F.col("n") - F.col("begin") + 1))).alias("size"))
-    edges = substrings.select(
-        "block", "word", "any", "n", (F.col("begin") * 64 - 64 + F.col("begin") - 1 + F.col("size")).alias("place"),
-        F.expr("substring(word, begin, size)").alias("piece")).join(table, "piece")
-    lattice = edges.groupBy("block", "word", "n").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "priority"))).alias("lattice"), F.min("any").alias("any"))
-    folded = lattice.select(F.col("block").alias("part"), "word", "any", fold_merges(F.col("n"), F.col("lattice")).alias("borders"))
-    spelled = spread.groupBy("block").cogroup(folded.groupBy("part")).applyInPandas(
-        _spell(path), "doc_id long, ids array<int>")
-    return spelled.select("doc_id", F.size("ids").cast(T.LongType()).alias("n_pieces"), "ids")
+    texts = docs.select("doc_id", marked(F.col("text")).alias("marked"))
+    encoded = texts.mapInPandas(_encoded(path), "doc_id long, ids array<int>")
+    return encoded.select("doc_id", F.size("ids").cast(T.LongType()).alias("n_pieces"), "ids")
 
 
 def _text_of(path: str):
