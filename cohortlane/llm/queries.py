@@ -65,6 +65,11 @@ def op2(spark, sf_dir):
     return language_model.backoff_scores(table(spark, sf_dir, "documents"))
 
 
+@query("op2_whole_vocabulary", language_model.WHOLE_ORACLE)
+def op2_whole(spark, sf_dir):
+    return language_model.whole_backoff_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op4_jaccard_join")
 def op4(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))

@@ -254,3 +254,29 @@ def test_backoff_scores_match_plain_python(docs, rows, no_docs, monkeypatch):
     for d, (n, score) in expected.items():
         assert found[d][0] == n and found[d][1] == (score if score is None else pytest.approx(score, abs=2e-6))
     assert lm.backoff_scores(no_docs).count() == 0
+
+
+def test_whole_vocabulary_keeps_every_word(spark, docs, rows, no_docs, monkeypatch):
+    """Without a cut rare words are no common unknown word; against plain Python."""
+    monkeypatch.setattr(lm, "RARE", 0.002)
+    extra = [(500 + i, f"rare{i} other{i} the the", "en", "a", 1, 7, "x") for i in range(5)]
+    texts = defaultdict(list)
+    for r in [*rows, *extra]:
+        if r[0] is not None:
+            texts[r[0]].append(words((r[1] or "").translate(ASCII)))
+    grams = {d: [g for t in ts if t for g in zip(["<", *map(str.encode, t)], map(str.encode, t))] for d, ts in texts.items()}
+    pairs, holders = Counter(g for x in grams.values() for g in x), defaultdict(set)
+    for d, x in grams.items():
+        for g in x:
+            holders[g].add(d)
+    word = Counter(g[1] for x in grams.values() for g in x)
+    total = sum(word.values())
+    word["<"] = sum(any(ts) for ts in texts.values())
+    frame = docs.union(spark.createDataFrame(extra, docs.schema))
+    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm.whole_backoff_scores(frame).collect()}
+    assert found.keys() == grams.keys()
+    for d, x in grams.items():
+        parts = [math.log(pairs[g] / word[g[0]]) if len(holders[g]) > 1 else math.log(0.4 * word[g[1]] / total) for g in x]
+        assert found[d] == (len(x), pytest.approx(sum(parts) / len(x), abs=2e-6) if x else None)
+    assert lm.whole_backoff_scores(no_docs).count() == 0
+    assert {r["score"] for r in lm.backoff_scores(frame).collect()} != {score for _, score in found.values()}
