@@ -249,3 +249,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = cut(near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def keep_one_row(docs: DataFrame) -> DataFrame:
+    """One row of each group of near copies, with its own columns; all rows without words stay, as they are in no group.
+
+    Unlike ``keep_one``, each row is a node of its own, so repeated rows, different texts of one id and rows without id
+    are met like any others. The row with the smallest id stays (rows without id come last), of several the one with the
+    smallest hash of its text. Rows are written with numbers first, so that a number keeps naming its row.
+    """
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    grouped = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    placed = cut(rows.select("_row", order.alias("place")).join(grouped, "_row"))
+    first = placed.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = cut(placed.join(first, "component_id").filter("place._row <> first._row").select("_row"))
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return rows.join(gone, "_row", "left_anti").drop("_row")

@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each group of near copies the document with the smallest id stays."""
-    return jaccard_join.keep_one(docs)
+    """Operator 4: of each group of near copies one row stays, that with the smallest id; repeated rows are near copies too."""
+    return jaccard_join.keep_one_row(docs)
 
 
 def suffix_arrays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,30 @@ def test_one_of_each_group_stays(docs, no_docs, rows):
     assert jj.near_duplicates(no_docs).count() == 0 and jj.keep_one(no_docs).count() == 0
 
 
+def test_one_row_of_each_group_stays_in_the_pipeline(spark, no_docs):
+    """Repeated rows and rows without id; the next stage must not cut both copies out."""
+    import corpus_pipeline as cp
+
+    a, b, c, d = (sentence(700 + i, 80) for i in range(4))
+    near = a.split()
+    near[40] = "changed"
+    near_d = d.split()
+    near_d[30] = "changed"
+    rows = [(1, a), (1, a), (2, " ".join(near)), (None, a), (None, b), (None, b), (None, b.upper()), (3, c), (None, c),
+            (2, d), (9, " ".join(near_d)), (None, None), (None, None), (5, ""), (5, "")]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component long").repartition(3)
+    kept = cp.jaccard(spark, frame, "")
+    assert kept.columns == frame.columns
+    found = as_rows(kept, "doc_id", "text")
+    one_b = [r for r in found if r[0] is None and r[1]]
+    assert len(one_b) == 1 and one_b[0][1] in (b, b.upper())
+    assert sorted(set(found) - set(one_b), key=repr) == sorted({(1, a), (3, c), (2, d), (None, None), (5, "")}, key=repr)
+    assert len(found) == 8
+    left = {r["text"] for r in cp.suffix_arrays(spark, kept, "").collect()}
+    assert {a, c, d} <= left
+    assert cp.jaccard(spark, no_docs, "").count() == 0
+
+
 def repeats(texts):
     data = [(t or "").encode() for t in texts]
     times = Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
