@@ -2,7 +2,8 @@
 
 A rule is a host with a path prefix; it fits its host and all subdomains, and the longest rule string wins. Pages that
 name another address by ``<link rel=canonical>`` or ``<meta http-equiv=refresh>`` (or by given redirect edges) form
-groups of aliases, found as connected components. A url with a rule of its own keeps that rule's verdict, so an explicit
+groups of aliases, found as connected components. Targets are resolved against the page's url or its ``<base href>``, with
+their character references decoded; nodes are compared with scheme and host in lower case. A url with a rule of its own keeps that rule's verdict, so an explicit
 allow is never overruled. A url without one is blocked if any alias is blocked by a rule, and allowed otherwise.
 
 Null urls and urls without ``://`` have empty host and path, fit no rule with a host, have no aliases and are allowed.
@@ -11,8 +12,13 @@ Repeated rows each get their row; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
+from html.entities import html5
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlane.llm.components import connected_components
@@ -39,6 +45,12 @@ META = r"(?i)<meta\b[^>]*>"
 REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
+#: For code only, the SQL does without.
+BASE = r"(?i)<base\b[^>]*>"
+TAGS = r"(?i)<(?:link|meta|base)\b[^>]*>"
+REFERENCE = re.compile(r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?")
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     rest = F.when(url.contains("://"), F.substring(url, F.instr(url, "://") + 3, F.length(url)))
@@ -48,30 +60,70 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def address(url: Column) -> Column:
-    """A url without its fragment: what redirects and canonical links name."""
-    return F.substring_index(url, "#", 1)
+    """What redirects and canonical links name: a url without its fragment, with scheme and host in lower case."""
+    whole = F.substring_index(url, "#", 1)
+    front = "^([^:/?#]+://)([^/?#]*@)?([^/?#]*)"
+    part = lambda i: F.regexp_extract(whole, front, i)
+    rest = F.regexp_replace(whole, front, "")
+    return F.concat(F.translate(part(1), UPPER, LOWER), part(2), F.translate(part(3), UPPER, LOWER), rest)
+
+
+def decoded(value: str) -> str:
+    """An attribute with its character references decoded; like browsers, ``&copy=1`` is left as it stands."""
+    def one(found: re.Match) -> str:
+        name = found[0][1:]
+        if name.startswith("#"):
+            return unescape(found[0])
+        return found[0] if not name.endswith(";") and found.string[found.end() :][:1] == "=" else html5.get(name, found[0])
+
+    return REFERENCE.sub(one, value)
+
+
+def resolved(base: str, target: str) -> str | None:
+    """The absolute address of a target; None where it has none (``mailto:``, ``javascript:``)."""
+    if scheme := SCHEME.match(target):
+        return target if target.startswith("//", scheme.end()) else None
+    front = re.match("([^:/?#]+:)//[^/?#]*", base)
+    if not front or not target:
+        return None
+    if target.startswith("//"):
+        return front[1] + target
+    if target.startswith("/") and "/." not in target:
+        return front[0] + target
+    try:
+        return urljoin(base, target)
+    except ValueError:  # brackets that are no address
+        return None
+
+
+def _targets(batches):
+    inside = [(re.compile(t, re.ASCII), re.compile(m, re.ASCII), re.compile(v, re.ASCII))
+              for t, m, v in ((LINK, CANONICAL, HREF), (META, REFRESH, REFRESH_URL))]
+    base_tag, href = re.compile(BASE, re.ASCII), re.compile(HREF, re.ASCII)
+    for batch in batches:
+        rows = []
+        for url, tags in zip(batch["url"], batch["tags"]):
+            named = [href.search(t) for t in tags if base_tag.match(t)]
+            first = next((decoded(n[1]) for n in named if n), "")
+            base = resolved(url, first) or url
+            for tag in tags:
+                for kind, mark, value in inside:
+                    if kind.match(tag) and mark.search(tag):
+                        # a reference ends with a semicolon, and so does the url of a refresh: decoded first
+                        found = value.search(decoded(tag)) if kind is inside[1][0] else value.search(tag)
+                        target = found and resolved(base, found[1] if kind is inside[1][0] else decoded(found[1]))
+                        if target:
+                            rows.append((url, target))
+        yield pd.DataFrame(rows, columns=["a", "b"], dtype=object)
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """Edges ``(a, b)`` from a page's url to the address that its html names as canonical or refreshes to.
-
-    Absolute, scheme-relative and root-relative targets count; others are left out.
-    """
-    def target(tags: str, mark: str, value: str) -> Column:
-        found = F.filter(F.regexp_extract_all("html", F.lit(tags), F.lit(0)), lambda tag: tag.rlike(mark))
-        return F.transform(found, lambda tag: F.regexp_extract(tag, value, 1))
-
-    targets = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select(
-        "url", F.explode(F.concat(target(LINK, CANONICAL, HREF), target(META, REFRESH, REFRESH_URL))).alias("t"))
-    scheme = F.substring_index("url", "://", 1)
-    host = F.regexp_extract("url", "://([^/?#]*)", 1)
-    full = (
-        F.when(F.col("t").contains("://"), F.col("t"))
-        .when(F.col("t").startswith("//"), F.concat(scheme, F.lit(":"), "t"))
-        .when(F.col("t").startswith("/"), F.concat(scheme, F.lit("://"), host, "t"))
-    )
-    edges = targets.select(address(F.col("url")).alias("a"), address(full).alias("b"))
-    return edges.filter("b is not null").distinct()
+    """Edges ``(a, b)`` from a page's url to the address that its html names as canonical or refreshes to."""
+    found = F.regexp_extract_all("html", F.lit(TAGS), F.lit(0))
+    marked = lambda tag: (tag.rlike(LINK) & tag.rlike(CANONICAL)) | (tag.rlike(META) & tag.rlike(REFRESH))
+    tagged = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select("url", found.alias("tags"))
+    edges = tagged.filter(F.exists("tags", marked)).mapInPandas(_targets, "a string, b string")
+    return edges.select(address(F.col("a")).alias("a"), address(F.col("b")).alias("b")).distinct()
 
 
 def match_rules(addresses: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

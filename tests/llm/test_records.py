@@ -56,6 +56,39 @@ def test_rules_and_aliases(spark):
     assert uf.url_verdicts(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("url, html, node", [
+    ("http://free.test/d/a", '<link rel="canonical" href="page.html">', "http://free.test/d/page.html"),
+    ("http://free.test/d/e/a?x=1", "<link rel=canonical href=../up>", "http://free.test/d/up"),
+    ("http://free.test/d/a?x=1", '<link rel="canonical" href="?id=1">', "http://free.test/d/a?id=1"),
+    ("http://free.test/d/a", '<link rel=canonical href="/r/../s">', "http://free.test/s"),
+    ("http://free.test/d/a", '<base target="_top"><base href="http://base.test/b/c"><link rel="canonical" href="page">', "http://base.test/b/page"),
+    ("http://free.test/d/a", '<link rel="canonical" href="../y"><base href="/b/c/d">', "http://free.test/b/y"),
+    ("http://free.test/a", '<link rel="canonical" href="http://o.test/?x=1&amp;y=2&#38;z=3">', "http://o.test/?x=1&y=2&z=3"),
+    ("http://free.test/a", '<link rel="canonical" href="/p?x=1&copy=2">', "http://free.test/p?x=1&copy=2"),
+    ("http://free.test/d/a", '<meta http-equiv="refresh" content="0; url=t?x=1&amp;y=2">', "http://free.test/d/t?x=1&y=2"),
+    ("http://free.test/d/a", "<meta content='3;URL=next' http-equiv=Refresh>", "http://free.test/d/next"),
+    ("http://free.test/d/a", '<link rel="canonical" href="HTTP://U@Other.TEST/Path?Q=A#f">', "http://U@other.test/Path?Q=A"),
+    ("http://free.test/d/a", '<link rel="canonical" href="log?to=http://o.test/">', "http://free.test/d/log?to=http://o.test/"),
+    ("http://free.test/d/a", '<link rel="canonical" href="mailto:a@b.test">', None),
+    ("http://free.test/d/a", '<link rel="canonical" href="http://[x"><p>', "http://[x"),
+])
+def test_targets_are_resolved(spark, url, html, node):
+    pages = spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+    assert [tuple(r) for r in uf.link_edges(pages).collect()] == ([(url, node)] if node else [])
+
+
+def test_blocks_reach_aliases_however_they_are_written(spark):
+    link = '<link rel="canonical" href="{}">'
+    pages = [
+        (1, "HTTP://Free.TEST/d/a", link.format("b?x=1&amp;y=2")), (2, "http://free.test/d/b?x=1&y=2", link.format("HTTP://Z.Example.COM/de/q")),
+        (3, "http://z.example.com/de/q", ""), (4, "http://free.test/D/a", ""),
+        (5, "http://free.test/x/y", '<base href="../d/"><meta http-equiv=refresh content="0;url=a">'),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["verdict"] for r in uf.url_verdicts(frame).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
+
+
 def pages(spark):
     long, other = sentence(1, 400), "é" * 500
     rows = [(1, "http://a/", long), (2, "http://b/\r\nX: y", long), (3, None, long), (4, "http://d/", other), (9, "http://e/", other),
