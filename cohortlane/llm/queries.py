@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlane.llm import jaccard_join, language_model, piece_lattice, quality_rules as quality, repeated_bytes, source_mixing, token_planes, url_filter, vantage_trees, warc
+from cohortlane.llm import fingerprints, hard_negatives, jaccard_join, language_model, piece_lattice, quality_rules as quality, repeated_bytes
+from cohortlane.llm import source_mixing, spelling_variants, token_planes, url_filter, vantage_trees, warc
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -83,3 +84,19 @@ def op5(spark, sf_dir):
 @query("op7_piece_lattice")
 def op7(spark, sf_dir):
     return piece_lattice.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_hard_negatives", hard_negatives.ORACLE)
+def op11(spark, sf_dir):
+    rows = hard_negatives.scaled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 50 == 0)
+
+
+@query("op12_scaled_sketch")
+def op12(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling_variants.variants(spelling_variants.spelled(table(spark, sf_dir, "documents")))

@@ -41,3 +41,32 @@ def sliced(batches, rows: int = 500):
     for batch in batches:
         for at in range(0, len(batch), rows):
             yield batch.iloc[at : at + rows]
+
+
+def rolled_shingles(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of ``size`` words, end to end, and the bounds of each text's own.
+
+    A text of fewer words has its whole sequence as one shingle; one without words has none.
+    """
+    codes, distinct, bounds = coded([words(t) for t in texts])
+    if not len(codes):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(bounds), dtype=np.int64)
+    hashes = pd.util.hash_array(distinct, categorize=False)[codes]
+    rolled = np.zeros(0, dtype=np.uint64)
+    if len(hashes) >= size:
+        rolled = hashes[: len(hashes) - size + 1]
+        for k in range(1, size):
+            rolled = mixed(rolled) + hashes[k : k + len(rolled)]
+        rolled = mixed(rolled)
+    parts = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b - a >= size:
+            parts.append(rolled[a : b - size + 1])
+        elif b > a:
+            whole = np.array([b - a], dtype=np.uint64)
+            for h in hashes[a:b]:
+                whole = mixed(whole) + h
+            parts.append(mixed(whole))
+        else:
+            parts.append(rolled[:0])
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
