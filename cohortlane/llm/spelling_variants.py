@@ -9,11 +9,11 @@ ones the later) lives.
   ``CELL_WORDS`` words. Every word lives in one box and is sent to all boxes of its own and the next length that it can
   reach, so boxes are searched apart. Boxes that stay too full, as those of a hot length beyond the sample's depth, are
   dealt into several groups by hash, and those who search the box go to all of them.
-* In a group a second k-d tree is built to leaves of ``LEAF_WORDS`` words; ranges are searched with tight boxes, and the
-  letter order of the words that are left is checked.
+* In a group a second k-d tree is built to leaves of ``LEAF_WORDS`` words. Those who reach a leaf are compared with its
+  words by bits (which letters stand there once, and twice), and the letter order of what is left is checked.
 
-The sample only shapes the boxes: all words are indexed, all pairs are found. Letters outside A-Z, a-z and U+00C0 to
-U+00FF share six counts, which can only bring words nearer.
+The sample only shapes the boxes: all words are indexed, all pairs are found. Letters from U+00C0 to U+00FF
+share a count with their other case, all others share six, which can only bring words nearer.
 
 Only distinct words and their counts are shuffled after the first aggregate, which combines before its shuffle. The
 number of near words and the best of them are aggregates too, so a word with very many near words does no harm. Forms
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortlane.session import cut
 
@@ -39,12 +39,13 @@ LEAST_LETTERS, LEAST_TIMES = 7, 2
 #: How many times the count of a word its form has at least.
 FORM_TIMES = 10
 #: Words of a box, and the most boxes; words that the trees over all lengths are fitted on.
-CELL_WORDS, MOST_CELLS, SAMPLE = 4096, 4096, 1 << 17
-LEAF_WORDS, TOGETHER = 24, 4096
-#: a to z, U+00C0 to U+00FF, and all others folded.
-COUNTS = 26 + 64 + 6
-OPEN = 1 << 30
-EDGES = "word string, other string, other_n long"
+CELL_WORDS, MOST_CELLS, SAMPLE = 32768, 4096, 1 << 17
+#: Words of a leaf inside a group, words that search it together, and pairs that are compared at once.
+LEAF_WORDS, TOGETHER, PAIRS = 128, 1 << 15, 1 << 20
+#: a to z, U+00C0 to U+00FF folded by case, and all others folded.
+COUNTS = 26 + 32 + 6
+PAIR_ROWS = "word string, other string, other_n long"
+BEST_ROWS = "word string, n_near long, minus long, form string"
 
 
 def spelled(texts: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def counts_of(words: list[str]) -> np.ndarray:
     """Letter counts, one row a word."""
     flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     column = np.where((flat >= 97) & (flat <= 122), flat - 97,
-                      np.where((flat >= 0xC0) & (flat <= 0xFF), flat - 0xC0 + 26, 90 + flat % 6))
+                      np.where((flat >= 0xC0) & (flat <= 0xFF), 26 + flat % 32, 58 + flat % 6))
     row = np.repeat(np.arange(len(words)), [len(w) for w in words])
     counted = np.bincount(row * COUNTS + column, minlength=len(words) * COUNTS)
     return counted.reshape(len(words), COUNTS).astype(np.int32)
@@ -79,11 +80,9 @@ def counts_of(words: list[str]) -> np.ndarray:
 
 @dataclass
 class Node:
-    """A box of counts: between ``low`` and ``high``; a leaf has rows or a number, any other node two children."""
+    """A box of counts, parted at a value of one count; a leaf has a number, and the rows that it was built over."""
 
-    low: np.ndarray
-    high: np.ndarray
-    rows: np.ndarray | None = None
+    rows: np.ndarray
     number: int = -1
     column: int = -1
     at: int = 0
@@ -100,82 +99,62 @@ def split(counts: np.ndarray) -> tuple[int, int] | None:
         column = int(share.argmin())
         if share[column] < 1 and (best is None or share[column] < best[0]):
             best = (share[column], column, int(middle[column]) + shift)
-    if best is None:  # nearly all rows equal: part off the others
-        spread = counts.max(axis=0) - counts.min(axis=0)
-        if not spread.max():
-            return None
-        column = int(spread.argmax())
-        return column, int(counts[:, column].max()) - 1
-    return best[1:]
-
-
-def tight_tree(counts: np.ndarray, rows: np.ndarray) -> Node:
-    """A tree over the given rows with the smallest boxes; leaves hold row numbers."""
-    own = counts[rows]
-    node = Node(own.min(axis=0), own.max(axis=0))
-    plane = split(own) if len(rows) > LEAF_WORDS else None
-    if plane is None:
-        node.rows = rows
-        return node
-    node.column, node.at = plane
-    left = own[:, node.column] <= node.at
-    node.children = (tight_tree(counts, rows[left]), tight_tree(counts, rows[~left]))
-    return node
-
-
-def plane_tree(counts: np.ndarray, depth: int, numbers) -> Node:
-    """A tree that parts all of the space by planes fitted on a sample; leaves are numbered."""
-    def grow(own: np.ndarray, low: np.ndarray, high: np.ndarray, left: int) -> Node:
-        node = Node(low, high)
-        plane = split(own) if left and len(own) > 1 else None
+    return best and best[1:]
+
+
+def tree_of(counts: np.ndarray, depth: int = 1 << 30, leaf_rows: int = LEAF_WORDS) -> Node:
+    """A k-d tree over the rows of ``counts``, at most ``depth`` levels of planes deep; its planes part all of the space."""
+    numbers = iter(range(1 << 30))
+
+    def grow(rows: np.ndarray, left: int) -> Node:
+        plane = split(counts[rows]) if left and len(rows) > leaf_rows else None
         if plane is None:
-            node.number = next(numbers)
-            return node
-        node.column, node.at = plane
-        under = own[:, node.column] <= node.at
-        top, bottom = high.copy(), low.copy()
-        top[node.column], bottom[node.column] = node.at, node.at + 1
-        node.children = (grow(own[under], low, top, left - 1), grow(own[~under], bottom, high, left - 1))
-        return node
-
-    return grow(counts, np.full(COUNTS, -OPEN), np.full(COUNTS, OPEN), depth)
-
-
-def reached(tree: Node, counts: np.ndarray, who: np.ndarray, up: int, down: int):
-    """``(leaf, those of who that may have a near word in it)``: boxes are left out that need more than ``up`` added or
-    ``down`` taken letters."""
-    columns = np.flatnonzero((tree.high > tree.low) | (counts[who].max(axis=0, initial=0) > 0))
-    stack = [(tree, who)]
+            return Node(rows, next(numbers))
+        under = counts[rows, plane[0]] <= plane[1]
+        return Node(rows, -1, *plane, (grow(rows[under], left - 1), grow(rows[~under], left - 1)))
+
+    return grow(np.arange(len(counts)), depth)
+
+
+def reached(tree: Node, counts: np.ndarray, up: int, down: int):
+    """``(leaf, rows of counts that may have a near word in it)``.
+
+    Boxes are left out that need more than ``up`` added or ``down`` taken letters, each at most one. A letter once
+    added to reach a side of one plane also serves the other planes of its count.
+    """
+    none = np.full(len(counts), -1, dtype=np.int16)
+    stack = [(tree, np.arange(len(counts)), none, none)]
     while stack:
-        node, who = stack.pop()
-        own = counts[np.ix_(who, columns)]
-        more = np.maximum(node.low[columns] - own, 0).sum(axis=1)
-        less = np.maximum(own - node.high[columns], 0).sum(axis=1)
-        who = who[(more <= up) & (less <= down)]
+        node, who, added, taken = stack.pop()
         if not len(who):
             continue
-        if node.children:
-            stack += [(child, who) for child in node.children]
-        else:
+        if not node.children:
             yield node, who
+            continue
+        own = counts[who, node.column]
+        free = ((added < 0) | (added == node.column)) if up else False
+        over = own <= node.at
+        right = ~over | ((own == node.at) & free)
+        stack.append((node.children[1], who[right], np.where(over, node.column, added)[right].astype(np.int16), taken[right]))
+        free = ((taken < 0) | (taken == node.column)) if down else False
+        left = over | ((own == node.at + 1) & free)
+        stack.append((node.children[0], who[left], added[left], np.where(over, taken, node.column)[left].astype(np.int16)))
 
 
 def home(tree: Node, counts: np.ndarray) -> np.ndarray:
     """The number of the leaf in which each row lives."""
     found = np.zeros(len(counts), dtype=np.int32)
-    stack = [(tree, np.arange(len(counts)))]
-    while stack:
-        node, who = stack.pop()
-        if not len(who):
-            continue
-        if node.children:
-            under = counts[who, node.column] <= node.at
-            stack += [(node.children[0], who[under]), (node.children[1], who[~under])]
-        else:
-            found[who] = node.number
+    for leaf, who in reached(tree, counts, 0, 0):
+        found[who] = leaf.number
     return found
 
 
+def masks(counts: np.ndarray) -> np.ndarray:
+    """Two sets of bits a row: the counts of at least one, and of at least two."""
+    bits = np.stack([counts >= 1, counts >= 2], axis=1)
+    return np.packbits(bits, axis=2, bitorder="little").view("<u8")[:, :, 0]
+
+
 def one_letter_apart(shorter: np.ndarray, longer: np.ndarray) -> np.ndarray:
     """Which rows of letters become each other by one replaced, or one more, letter."""
     n = shorter.shape[1]
@@ -187,48 +166,73 @@ def one_letter_apart(shorter: np.ndarray, longer: np.ndarray) -> np.ndarray:
 
 
 def near_pairs(asking: list[str], living: list[str]):
-    """``(places in asking, places in living)`` of near words; all asking words have one length, all living words one."""
-    counts = np.concatenate([counts_of(asking), counts_of(living)])
-    first = np.stack(letters_of(asking))
-    second = np.stack(letters_of(living))
+    """``(places in asking, places in living)`` of near words; all asking words have one length, all living words one.
+
+    Of two words of one length only the earlier asks for the later.
+    """
+    first, second = np.stack(letters_of(asking)), np.stack(letters_of(living))
     equal = first.shape[1] == second.shape[1]
     up, down = 1, 1 if equal else 0
-    tree = tight_tree(counts, np.arange(len(asking), len(counts)))
-    used = np.flatnonzero(counts.max(axis=0))
-    names, others = np.asarray(asking, dtype=object), np.asarray(living, dtype=object)
+    asked, counts = counts_of(asking), counts_of(living)
+    tree, bits, own_bits = tree_of(counts), masks(counts), masks(asked)
     for at in range(0, len(asking), TOGETHER):
-        for leaf, who in reached(tree, counts, np.arange(at, min(at + TOGETHER, len(asking))), up, down):
-            for part in np.array_split(leaf.rows, -(-len(leaf.rows) // TOGETHER)):
-                step = max((1 << 22) // (len(part) * len(used)), 1)
+        for leaf, who in reached(tree, asked[at : at + TOGETHER], up, down):
+            who = who + at
+            for rows in np.split(leaf.rows, range(PAIRS, len(leaf.rows), PAIRS)):
+                step = max(PAIRS // len(rows), 1)
                 for some in np.split(who, range(step, len(who), step)):
-                    gap = counts[np.ix_(part, used)][None, :, :] - counts[np.ix_(some, used)][:, None, :]
-                    close = (np.maximum(gap, 0).sum(axis=2) <= up) & (np.maximum(-gap, 0).sum(axis=2) <= down)
-                    a, b = np.nonzero(close)
-                    a, b = some[a], part[b] - len(asking)
-                    if equal:
-                        once = names[a] < others[b]
-                        a, b = a[once.astype(bool)], b[once.astype(bool)]
+                    a, b = close(own_bits[some], bits[rows], up, down)
+                    a, b = some[a], rows[b]
                     good = one_letter_apart(first[a], second[b])
-                    if good.any():
-                        yield a[good], b[good]
-
-
-def search_group(group: pd.DataFrame) -> pd.DataFrame:
-    """Both directions of every near pair that is met in one group."""
-    lives = group[group["lives"]]
-    words, times = lives["word"].tolist(), lives["n"].to_numpy()
-    rows = []
-    asks = group[~group["lives"]]
-    for _, part in asks.groupby(asks["word"].str.len()):
-        if not len(words):
-            continue
-        asking, asked_n = part["word"].to_numpy(), part["n"].to_numpy()
-        living = np.asarray(words, dtype=object)
-        for a, b in near_pairs(part["word"].tolist(), words):
-            rows.append(pd.DataFrame({"word": asking[a], "other": living[b], "other_n": times[b]}))
-            rows.append(pd.DataFrame({"word": living[b], "other": asking[a], "other_n": asked_n[a]}))
-    empty = pd.DataFrame({"word": [], "other": [], "other_n": []}).astype({"word": str, "other": str, "other_n": "int64"})
-    return pd.concat(rows, ignore_index=True) if rows else empty
+                    a, b = a[good], b[good]
+                    if equal and len(a):
+                        once = np.array([asking[i] < living[j] for i, j in zip(a.tolist(), b.tolist())])
+                        a, b = a[once], b[once]
+                    if len(a):
+                        yield a, b
+
+
+def close(own: np.ndarray, bits: np.ndarray, up: int, down: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows whose counts, up to two of a letter, need at most ``up`` added and ``down`` taken letters."""
+    more = np.bitwise_count(bits[None, :, 0] & ~own[:, None, 0])
+    more += np.bitwise_count(bits[None, :, 1] & ~own[:, None, 1])
+    a, b = np.nonzero(more <= up)
+    less = np.bitwise_count(own[a, 0] & ~bits[b, 0]) + np.bitwise_count(own[a, 1] & ~bits[b, 1])
+    good = less <= down
+    return a[good], b[good]
+
+
+def pairs_of(group: pd.DataFrame):
+    """``(words, counts, place of a word, place of the other)`` of all near pairs met in one group, in both directions."""
+    lives = group["lives"].to_numpy()
+    words, times = group["word"].to_numpy(), group["n"].to_numpy()
+    living = np.flatnonzero(lives)
+    places = []
+    if len(living):
+        asks = np.flatnonzero(~lives)
+        sizes = group["word"].str.len().to_numpy()[asks]
+        for size in np.unique(sizes):
+            mine = asks[sizes == size]
+            for a, b in near_pairs(words[mine].tolist(), words[living].tolist()):
+                places.append((mine[a], living[b]))
+    a, b = (np.concatenate([p[i] for p in places]) if places else np.zeros(0, dtype=np.int64) for i in (0, 1))
+    return words, times, np.concatenate([a, b]), np.concatenate([b, a])
+
+
+def pair_rows(group: pd.DataFrame) -> pd.DataFrame:
+    words, times, a, b = pairs_of(group)
+    return pd.DataFrame({"word": words[a], "other": words[b], "other_n": times[b]})
+
+
+def best_rows(group: pd.DataFrame) -> pd.DataFrame:
+    """Per word of a group: how many near words it met, and the best of them."""
+    words, times, a, b = pairs_of(group)
+    distinct, code = np.unique(words.astype(str), return_inverse=True)  # codes have the order of code points
+    order = np.lexsort((code[b], -times[b], code[a]))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.diff(code[a], prepend=-1))
+    n = np.diff(np.append(first, len(a)))
+    return pd.DataFrame({"word": words[a[first]], "n_near": n, "minus": -times[b[first]], "form": words[b[first]]})
 
 
 def fitted_trees(words: DataFrame, sizes: dict[int, int]) -> dict[int, Node]:
@@ -242,48 +246,62 @@ def fitted_trees(words: DataFrame, sizes: dict[int, int]) -> dict[int, Node]:
     trees = {}
     for size in crowded:
         boxes = min(-(-sizes[size] // CELL_WORDS), max(MOST_CELLS * sizes[size] // total, 1))
-        trees[size] = plane_tree(
-            counts_of([w for w in sample if len(w) == size]), int(np.ceil(np.log2(boxes))), iter(range(1 << 30)))
+        trees[size] = tree_of(counts_of([w for w in sample if len(w) == size]), int(np.ceil(np.log2(boxes))), 1)
     return trees
 
 
-def near_words(words: DataFrame) -> DataFrame:
-    """``(word, other, other_n)``: every word of ``words(word, n)`` with each of its near words."""
-    sizes = {r["size"]: r["count"] for r in words.groupBy(F.length("word").alias("size")).count().collect()}
+def by_length(batches):
+    for batch in batches:
+        size = batch["word"].str.len().to_numpy()
+        for length in np.unique(size):
+            part = batch.iloc[np.flatnonzero(size == length)]
+            yield int(length), part, counts_of(part["word"].tolist())
+
+
+def dealt(words: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """``(size, box, salt, word, n, lives)``: every word where it lives, and wherever it asks for near words."""
     trees = fitted_trees(words, sizes)
 
-    def dealt(batches):
-        for batch in batches:
-            size = batch["word"].str.len().to_numpy()
-            for length in np.unique(size):
-                rows = np.flatnonzero(size == length)
-                part = batch.iloc[rows]
-                counts = counts_of(part["word"].tolist())
-
-                def at(box: np.ndarray, who: np.ndarray, own: int, lives: bool) -> pd.DataFrame:
-                    return part.iloc[who].assign(size=own, box=box, lives=lives)
-
-                everyone = np.arange(len(rows))
-                tree = trees.get(int(length))
-                yield at(home(tree, counts) if tree else 0, everyone, length, True)
-                for other, up, down in ((int(length), 1, 1), (int(length) + 1, 1, 0)):
-                    tree = trees.get(other)
-                    if tree:
-                        for leaf, who in reached(tree, counts, everyone, up, down):
-                            yield at(leaf.number, who, other, False)
-                    elif other in sizes:
-                        yield at(0, everyone, other, False)
-
-    placed = words.select("word", "n").mapInPandas(dealt, "word string, n long, size int, box int, lives boolean")
-    placed = cut(placed)
-    full = placed.filter("lives").groupBy("size", "box").agg(F.ceil(F.count("*") / F.lit(2.0 * CELL_WORDS)).cast("int").alias("groups"))
-    full = cut(full.filter("groups > 1"))
-    salted = placed.join(full, ["size", "box"], "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
-    own = F.array(F.pmod(F.xxhash64("word"), F.col("groups")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("groups") - 1)
-    salted = salted.withColumn("group", F.explode(F.when(F.col("lives"), own).otherwise(every)))
-    return salted.select("size", "box", "group", "word", "n", "lives").groupBy("size", "box", "group").applyInPandas(
-        lambda group: search_group(group), EDGES)
+    def homes(batches):
+        for length, part, counts in by_length(batches):
+            if length in trees:
+                yield pd.DataFrame({"size": length, "box": home(trees[length], counts)})
+
+    # no more rows than boxes; a box that stays too full is dealt into several groups
+    filled = words.mapInPandas(homes, "size int, box int").groupBy("size", "box").count() if trees else None
+    groups = {(r["size"], r["box"]): -(-r["count"] // (2 * CELL_WORDS)) for r in filled.collect()} if trees else {}
+
+    def placed(batches):
+        for length, part, counts in by_length(batches):
+            def at(size: int, box, who: np.ndarray, salt, lives: bool) -> pd.DataFrame:
+                chosen = part.iloc[who]
+                return pd.DataFrame({"size": size, "box": box, "salt": salt, "word": chosen["word"], "n": chosen["n"], "lives": lives})
+
+            everyone = np.arange(len(part))
+            tree = trees.get(length)
+            own = home(tree, counts) if tree else np.zeros(len(part), dtype=np.int32)
+            most = np.array([groups.get((length, b), 1) for b in own.tolist()])
+            yield at(length, own, everyone, part["hash"].to_numpy() % most, True)
+            for other, up, down in ((length, 1, 1), (length + 1, 1, 0)):
+                if other in trees:
+                    for leaf, who in reached(trees[other], counts, up, down):
+                        for salt in range(groups.get((other, leaf.number), 0)):  # no group, no word lives there
+                            yield at(other, leaf.number, who, salt, False)
+                elif other in sizes:
+                    yield at(other, 0, everyone, 0, False)
+
+    hashed = words.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(1 << 30)).alias("hash"))
+    return hashed.mapInPandas(placed, "size int, box int, salt int, word string, n long, lives boolean")
+
+
+def _groups(words: DataFrame):
+    sizes = {r["size"]: r["count"] for r in words.groupBy(F.length("word").alias("size")).count().collect()}
+    return dealt(words, sizes).groupBy("size", "box", "salt")
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """``(word, other, other_n)``: every word of ``words(word, n)`` with each of its near words."""
+    return _groups(cut(words)).applyInPandas(pair_rows, PAIR_ROWS)
 
 
 def roots_of(forms: DataFrame, longest: int) -> DataFrame:
@@ -298,19 +316,15 @@ def roots_of(forms: DataFrame, longest: int) -> DataFrame:
     return roots
 
 
-def best_form(n: Column) -> Column:
-    """The near word of the largest count, the first of equal ones, as a struct with ``form`` and ``form_n``."""
-    best = F.min(F.struct((-F.col("other_n")).alias("minus"), F.col("other").alias("form")))
-    return F.when(-best["minus"] >= FORM_TIMES * n, F.struct(best["form"].alias("form"), (-best["minus"]).alias("form_n")))
-
-
 def variants(words: DataFrame) -> DataFrame:
     """``(word, form, root, n, n_near, form_n)`` of every word of ``words(word, n)``; words are distinct."""
     words = cut(words)
-    edges = near_words(words)
-    judged = edges.join(words, "word").groupBy("word", "n").agg(
-        F.count("*").alias("n_near"), best_form(F.col("n")).alias("best"))
-    judged = cut(judged.select("word", "n_near", "best.form", "best.form_n"))
+    # a group sends one row a word, not one a pair
+    met = _groups(words).applyInPandas(best_rows, BEST_ROWS)
+    judged = met.join(words, "word").groupBy("word", "n").agg(
+        F.sum("n_near").alias("n_near"), F.min(F.struct("minus", "form")).alias("best"))
+    best = F.when(-F.col("best.minus") >= FORM_TIMES * F.col("n"), F.col("best"))
+    judged = cut(judged.select("word", "n_near", best["form"].alias("form"), (-best["minus"]).alias("form_n")))
     most = words.agg(F.max("n")).first()[0] or 1
     forms = judged.filter("form is not null").select("word", "form")
     roots = roots_of(forms, len(str(most)))  # each form has ten times the count of the one before
