@@ -12,6 +12,7 @@ text order, each with its own row. An empty table gives an empty folder. Other c
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from functools import cache
@@ -19,16 +20,16 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cohortlane.llm.text import coded
 from cohortlane.session import scratch_folder
 
 CHUNK_IDS = 1 << 16
 #: Texts encoded at a time.
-TOGETHER = 1000
+TOGETHER = 2000
 CHUNKS = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("planes", pa.list_(pa.binary())),
     ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())),
@@ -67,54 +68,113 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: A worker keeps the ids of at most so many words that it has met.
-MOST_KEPT = 400_000
+#: A worker keeps the ids of at most so many parts of words that it has met, and encodes so many new ones in one text.
+MOST_KEPT, IN_ONE = 400_000, 64
+#: Words in which the tokenizer's own rules for parts are not plain: with any character but printable ASCII and letters that
+#: are one code point in every normal form and have one other case. Such words are left to the tokenizer whole.
+ODD = re.compile("[^ -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FE]")
+#: The pattern by which the tokenizer parts all other words, once they are in lower case; a blank ends a word.
+LETTERS = "a-z\u00DF-\u00F6\u00F8-\u00FE"
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ 0-9{LETTERS}]+| ")
 
 
-class Words:
-    """Ids of words, end to end, with the place of each word."""
+class Parts:
+    """Ids of parts of words, end to end, with the place of each part."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1 + len(added), dtype=bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
+        self.slots: dict[str, int] = {}
         self.flat, self.starts, self.lengths = (np.zeros(0, dtype=t) for t in (np.uint32, np.int64, np.int64))
 
-    def places(self, distinct: list[bytes]) -> np.ndarray:
+    def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, end to end, and how many each has."""
+        joined = [" ".join(parts[i : i + IN_ONE]) for i in range(0, len(parts), IN_ONE)]
+        ids = np.array([i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], dtype=np.uint32)
+        ends = np.flatnonzero(self.last[np.minimum(ids, len(self.last) - 1)])
+        if len(ends) == len(parts) and (not len(ids) or ends[-1] == len(ids) - 1):
+            return ids, np.diff(ends, prepend=-1)
+        # the ends of words don't tell the parts: encode each by itself
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], dtype=np.uint32), np.array([len(x) for x in found], dtype=np.int64)
+
+    def places(self, distinct: list[str], odd: set[str]) -> np.ndarray:
+        """Where each part's ids are; ``odd`` parts are encoded by themselves."""
         if len(self.slots) > MOST_KEPT:
             self.clear()
         fresh = [w for w in distinct if w not in self.slots]
         if fresh:
-            names = b"\0".join(fresh).decode().split("\0") if not any(b"\0" in w for w in fresh) else [w.decode() for w in fresh]
-            found = [e.ids for e in self.tokenizer.encode_batch(names, add_special_tokens=False)]
-            lengths = np.array([len(ids) for ids in found], dtype=np.int64)
-            self.slots.update(zip(fresh, range(len(self.slots), len(self.slots) + len(fresh))))
+            whole = [w for w in fresh if w in odd] if odd else []
+            fresh = [w for w in fresh if w not in odd] if whole else fresh
+            ids, lengths = self.encoded(fresh)
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+            ids = np.concatenate([ids, np.array([i for x in found for i in x], dtype=np.uint32)])
+            lengths = np.concatenate([lengths, np.array([len(x) for x in found], dtype=np.int64)])
+            self.slots.update(zip(fresh + whole, range(len(self.slots), len(self.slots) + len(lengths))))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, np.array([i for ids in found for i in ids], dtype=np.uint32)])
+            self.flat = np.concatenate([self.flat, ids])
         return np.fromiter(map(self.slots.__getitem__, distinct), dtype=np.int64, count=len(distinct))
 
+    def parts_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the parts of all words, end to end, and how many parts each word has."""
+        text = " ".join(words.to_pylist())
+        low, names, odd = text.lower(), [], set()
+        if ODD.search(text) or (self.added and self.added.search(low)):
+            names = text.split(" ")
+            odd = {w for w in names if ODD.search(w) or (self.added and self.added.search(w.lower()))}
+            low = " ".join(["" if w in odd else w for w in names]).lower()
+        # a blank ends each word; its own place, the first one, is not used
+        found = pa.array([" ", *PARTS.findall(low), " "]).dictionary_encode()
+        codes = found.indices.to_numpy(zero_copy_only=False)
+        counts = np.diff(np.flatnonzero(codes == 0)) - 1
+        distinct, codes = found.dictionary.to_pylist()[1:], codes[codes > 0] - 1
+        if odd:
+            which = np.array([i for i, w in enumerate(names) if w in odd])
+            alone = pa.array([names[i] for i in which]).dictionary_encode()
+            codes = np.insert(codes, np.cumsum(counts)[which], alone.indices.to_numpy(zero_copy_only=False) + len(distinct))
+            distinct, counts[which] = distinct + alone.dictionary.to_pylist(), 1
+        return self.places(distinct, odd)[codes], counts
+
 
 @cache
-def known_words(path: str) -> Words:
-    return Words(path)
+def known_parts(path: str) -> Parts:
+    return Parts(path)
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - starts, lengths)
 
 
-def encode(texts: list[str | None], path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: list[str | None] | pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each with the end id, and the end of each text.
 
-    The tokenizer never joins across white space, so each distinct word is encoded once for many texts.
+    The tokenizer never joins across white space, nor across the parts of a word. So each distinct word is parted once
+    for many texts, and each distinct part is encoded once for many words.
     """
-    codes, distinct, bounds = coded([(t or "").encode().split() for t in texts])
-    kept = known_words(path)
-    places = kept.places(list(distinct))[codes]
-    each = kept.lengths[places]
-    ends = np.cumsum(each)
-    where = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each - kept.starts[places], each)
-    text_ends = np.concatenate([[0], ends])[bounds[1:]]
-    ids = np.insert(kept.flat[where], text_ends, end_id)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, type=pa.string())
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = lists.flatten().dictionary_encode()
+    codes, bounds = words.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    kept = known_parts(path)
+    places, counts = kept.parts_of(words.dictionary) if len(words.dictionary) else (np.zeros(0, dtype=np.int64),) * 2
+    lengths = kept.lengths[places]
+    flat = kept.flat[spread(kept.starts[places], lengths)]  # the ids of all distinct words
+    upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+    each = np.diff(upto)[codes]
+    text_ends = np.concatenate([[0], np.cumsum(each)])[bounds[1:]].astype(np.int64)
+    ids = np.insert(flat[spread(upto[codes], each)], text_ends, end_id)
     return ids, text_ends + np.arange(1, len(texts) + 1)
 
 
@@ -144,7 +204,7 @@ def _chunks(path: str, end_id: int, size: int, kind: str):
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for at in range(0, len(names), TOGETHER):
-                ids, ends = encode(texts.slice(at, TOGETHER).to_pylist(), path, end_id)
+                ids, ends = encode(texts.slice(at, TOGETHER), path, end_id)
                 docs += [[d, int(n)] for d, n in zip(names[at : at + TOGETHER], np.diff(ends, prepend=0))]
                 held = np.concatenate([held, ids])
                 while len(held) >= size:
