@@ -119,7 +119,10 @@ def quality_metrics(docs: DataFrame) -> DataFrame:
     )
     covered = F.when(F.size("starts") > 0, F.aggregate(gaps, F.lit(0), lambda total, gap: total + gap))
     counts = found.select(*kept, F.coalesce(covered, F.lit(0)).alias("n_repeat_words"))
-    return counts.select("doc_id", *[F.col(c).cast("long").alias(c) for c in counts.columns if c != "doc_id"])
+    metrics = F.struct("doc_id", *[F.col(c).cast("long").alias(c) for c in counts.columns if c != "doc_id"])
+    # A filter on a metric stops above this generator. Pushed further, it would hold the intermediates written out
+    # inside each other's lambdas, computed again for every element.
+    return counts.select(F.explode(F.array(metrics)).alias("m")).select("m.*")
 
 
 def compile_rules(rules: tuple[Threshold, ...]) -> Column:
