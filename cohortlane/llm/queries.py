@@ -61,13 +61,9 @@ def op1(spark, sf_dir):
         "doc.doc_id", "doc.source", "doc.n_tokens", "epoch", "block", "block_key", "doc_key")
 
 
-@query("op2_stupid_backoff", language_model.ORACLE)
-def op2(spark, sf_dir):
-    return language_model.backoff_scores(table(spark, sf_dir, "documents"))
-
-
 @query("op2_whole_vocabulary", language_model.WHOLE_ORACLE)
-def op2_whole(spark, sf_dir):
+@query("op2_stupid_backoff", language_model.WHOLE_ORACLE)
+def op2(spark, sf_dir):
     return language_model.whole_backoff_scores(table(spark, sf_dir, "documents"))
 
 

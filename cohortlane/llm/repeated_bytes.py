@@ -138,7 +138,7 @@ def _whole(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-OCCURRENCES = "d long, r int, start int, phrase long, around long"
+OCCURRENCES = "d long, r long, start int, phrase long, around long"
 
 
 def _phrases(batches):
@@ -153,7 +153,7 @@ def _phrases(batches):
                 "phrase": np.concatenate([f[1] for f in found]), "around": np.concatenate([f[2] for f in found])})
 
 
-CONTEXTS = "phrase long, d long, r int, start int, open boolean, before binary, behind binary"
+CONTEXTS = "phrase long, d long, r long, start int, open boolean, before binary, behind binary"
 
 
 def _contexts(batches):
@@ -169,7 +169,7 @@ def _contexts(batches):
         yield pd.DataFrame(rows, columns=names)
 
 
-INTERVALS = "d long, r int, low int, high int"
+INTERVALS = "d long, r long, low int, high int"
 
 
 def _compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +205,7 @@ def _compared(batches):
         yield _compare(held)
 
 
-STRINGS = "d long, r int, start int, open boolean, o int, print long"
+STRINGS = "d long, r long, start int, open boolean, o int, print long"
 
 
 def _spelled(batches):
@@ -217,26 +217,34 @@ def _spelled(batches):
                 yield chosen.assign(o=np.int32(o), print=prints.view(np.int64))
 
 
-KEPT = "d long, r int, n_removed long, n_spans long, kept binary"
+KEPT = "d long, r long, n_removed long, n_spans long, kept binary"
 
 
-def _cut_out(batches):
+def _cut_out(readable: bool):
+    """What stays of each text; if it is to be read, each piece without the bytes of characters that are cut."""
     names = [c.split()[0] for c in KEPT.split(", ")]
-    for batch in batches:
-        rows = []
-        for item in batch.itertuples(index=False):
-            content = _whole(item.text)
-            spans = np.array([(s["low"], s["high"]) for s in item.spans], dtype=np.int64)
-            begins, ends = runs(len(content), spans[:, 0], spans[:, 1])
-            edges = [0, *np.column_stack([begins, ends]).ravel().tolist(), len(content)]
-            left = b"".join(content[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-            rows.append((item.d, item.r, len(content) - len(left), len(begins), left))
-        yield pd.DataFrame(rows, columns=names)
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for item in batch.itertuples(index=False):
+                content = _whole(item.text)
+                spans = np.array([(s["low"], s["high"]) for s in item.spans], dtype=np.int64)
+                begins, ends = runs(len(content), spans[:, 0], spans[:, 1])
+                edges = [0, *np.column_stack([begins, ends]).ravel().tolist(), len(content)]
+                pieces = [content[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)]
+                removed = len(content) - sum(map(len, pieces))
+                if readable:
+                    pieces = [piece.decode("utf-8", "ignore").encode() for piece in pieces]
+                rows.append((item.d, item.r, removed, len(begins), b"".join(pieces)))
+            yield pd.DataFrame(rows, columns=names)
+
+    return run
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``d`` and ``r`` name a row: its id (or a hash of the text, where it has none) and a hash of the text."""
-    return docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.hash("text").alias("r"), "text")
+    return docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.xxhash64(F.lit("row"), "text").alias("r"), "text")
 
 
 def _texts_of(texts: DataFrame, marks: DataFrame) -> DataFrame:
@@ -278,18 +286,21 @@ def _grouped(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("phrase").sortWithinPartitions("phrase").mapInPandas(_compared, INTERVALS)
 
 
-def changed(docs: DataFrame) -> DataFrame:
-    """``(d, r, n_removed, n_spans, kept)`` of the rows that lose bytes; ``kept`` is what stays of them."""
+def changed(docs: DataFrame, readable: bool = False) -> DataFrame:
+    """``(d, r, n_removed, n_spans, kept)`` of the rows that lose bytes; ``kept`` is what stays of them.
+
+    If it is to be ``readable``, characters that lose some of their bytes go as a whole.
+    """
     texts = keyed(docs.filter("text is not null"))
     spans = cut(intervals(texts).groupBy("d", "r").agg(F.collect_set(F.struct("low", "high")).alias("spans")))
-    return cut(_texts_of(texts, spans).mapInPandas(_cut_out, KEPT))
+    return cut(_texts_of(texts, spans).mapInPandas(_cut_out(readable), KEPT))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row."""
     data = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     own = docs.select(
-        "doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.hash("text").alias("r"),
+        "doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.xxhash64(F.lit("row"), "text").alias("r"),
         F.octet_length(data).cast("long").alias("n_bytes"), F.sha2(data, 256).alias("whole"))
     cuts = changed(docs).select("d", "r", "n_removed", "n_spans", F.sha2("kept", 256).alias("part"))
     return own.join(cuts, ["d", "r"], "left").select(
@@ -304,15 +315,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.hash("text").alias("r"))
-    cuts = changed(docs).mapInPandas(_readable, "d long, r int, kept string")
+        F.coalesce("doc_id", F.xxhash64("text")).alias("d"), F.xxhash64(F.lit("row"), "text").alias("r"))
+    cuts = changed(docs, readable=True).select("d", "r", F.decode("kept", "utf-8").alias("kept"))
     joined = row.join(cuts, ["d", "r"], "left")
     values = {"text": F.coalesce("kept", "doc.text")}
     if "n_chars" in docs.columns:
         values["n_chars"] = F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(F.col("doc.n_chars"))
     return joined.select(*[values.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
-
-def _readable(batches):
-    for batch in batches:
-        yield pd.DataFrame({"d": batch["d"], "r": batch["r"], "kept": [bytes(k).decode("utf-8", "ignore") for k in batch["kept"]]})

@@ -93,7 +93,7 @@ def mixture(
 
     Columns ``source, tokens, blocks, weight, epochs, cut_block, cut_key, cut_doc``; see ``copies``.
     """
-    sized = docs.select("source", "doc_id", token_count(F.col("text")).alias("n"))
+    sized = docs.select("source", _name(), token_count(F.col("text")).alias("n"))
     totals = cut(sized.groupBy("source").agg(F.sum("n").alias("tokens")))
     some = totals.filter("tokens > 0")
     all_tokens = some.agg(F.sum("tokens")).first()[0] or 0
@@ -134,6 +134,11 @@ def mixture(
     ).select("source", "tokens", "blocks", "weight", "epochs", "cut_key", "cut_block", "cut_doc"))
 
 
+def _name() -> Column:
+    """What a document's place is made of: its id or, where it has none, its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id")
+
+
 def _order(seed: int, epoch: Column, blocks: Column) -> list[Column]:
     """The place of a document in a pass: the block's key and number, then the document's key."""
     block = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), blocks)
@@ -149,7 +154,7 @@ def draws(docs: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
     Reading a source in the order ``epoch, block_key, block, doc_key`` is its permutation.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    packed = docs.select(row.alias("doc"), "source", "doc_id")
+    packed = docs.select(row.alias("doc"), "source", _name())
     rules = plan.select(
         F.col("source").alias("_s"), "blocks", "epochs", F.col("cut_key").alias("_k"), F.col("cut_block").alias("_b"),
         F.col("cut_doc").alias("_d"))
