@@ -7,11 +7,11 @@ least ``need(a, b)`` shingles.
 * Small sets (size up to a boundary): for every size a partner may have, all subsets of the needed size are enumerated.
   Whoever shares such a subset with the smallest set of its bucket is linked to it, so a bucket gives a star of links.
 * Large sets: each is listed under the first shingles of its set, as many as make sure that linked sets share one (the
-  prefix filter). The order of shingles is by hash, with very frequent ones last; any order is right, this one keeps the
-  lists short. A first round compares list members with one pivot of like size per list and joins what links. A second
-  round compares, list by list, only members of different components, and only pairs that share as many listed shingles
-  as linked sets must. So a large group of near copies costs a star, not all pairs, and no link between components is
-  lost.
+  prefix filter). The order of shingles is by hash, with those listed more than once last; any order is right, this one
+  keeps the lists short. In each of ``ROUNDS`` rounds every document is compared with one pivot at most: of the central
+  members of its lists, the most central one that it has not met and that is in another component. So a large group of
+  near copies costs a star, not all pairs. Then, list by list, members of different components are compared if they
+  share as many listed shingles as linked sets must, so no link between components is lost.
 * The boundary has the least estimated cost: subsets enumerated against entries and list members met.
 
 Documents without words have an empty set and stand alone. Null texts count as empty. Rows without id are returned with
@@ -39,7 +39,9 @@ PART, WHOLE = 80, 100
 #: Sets larger than this are never enumerated.
 MOST_SMALL = 16
 #: A shingle listed more often than this goes to the end of the order, for at most MOST_FREQUENT shingles.
-FREQUENT, MOST_FREQUENT = 10, 1 << 22
+FREQUENT, MOST_FREQUENT = 1, 1 << 19
+#: Rounds of comparison with one pivot a document, before components are compared list by list.
+ROUNDS = 3
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1 << 20
 
@@ -151,6 +153,15 @@ def _of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
 
 
+def frequent_above(often: DataFrame) -> int:
+    """The least count, FREQUENT or more, that at most ``MOST_FREQUENT`` shingles exceed (beyond 10,000, whatever exceeds it)."""
+    counts = often.groupBy(F.least("count", F.lit(10_000)).alias("c")).agg(F.count("*").alias("n")).collect()
+    above = FREQUENT
+    while sum(r["n"] for r in counts if r["c"] > above) > MOST_FREQUENT:
+        above = min(r["c"] for r in counts if r["c"] > above)
+    return above
+
+
 def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` between documents whose components are those of all links. ``signed``: see ``_signed``."""
     spark = docs.sparkSession
@@ -158,14 +169,17 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     classes = full.groupBy("print").agg(F.min("doc_id").alias("first"), F.count("*").alias("c"))
     copies = cut(full.join(classes.filter("c > 1"), "print").filter("doc_id <> first").select(
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct())
-    texts = _of_ids(docs, copies.select(F.col("b").alias("doc_id")).distinct(), "left_anti")
+    # an id with several texts stays for the sake of its others
+    several = full.groupBy("doc_id").agg(F.min("print").alias("x"), F.max("print").alias("y")).filter("x <> y")
+    dropped = copies.select(F.col("b").alias("doc_id")).distinct().join(several.select("doc_id"), "doc_id", "left_anti")
+    texts = _of_ids(docs, cut(dropped), "left_anti")
 
     often = cut(full.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1"))
     listed = full.agg(F.sum(F.size("keys"))).first()[0] or 1
     bounded = F.least("count", F.lit(FREQUENT)).cast("double")
     met = often.agg(F.sum(bounded * (bounded - 1))).first()[0] or 0.0
-    last = often.filter(F.col("count") > FREQUENT).orderBy(F.desc("count"), "key").limit(MOST_FREQUENT)
-    frequent = np.sort(last.select("key").toPandas()["key"].to_numpy(dtype=np.int64))
+    last = often.filter(F.col("count") > frequent_above(often)).select("key")  # at most MOST_FREQUENT
+    frequent = np.sort(last.toPandas()["key"].to_numpy(dtype=np.int64))
     sizes = {r["n"]: r["count"] for r in full.filter(F.col("n") <= 2 * MOST_SMALL).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, met / listed)
 
@@ -189,11 +203,22 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     pivot = F.max(F.struct("central", (-F.col("doc_id")).alias("minus"), "n")).over(Window.partitionBy("key", "band"))
     stars = entries.join(central, "doc_id").withColumn("band", band).withColumn("pivot", pivot)
     near = stars.filter("doc_id <> -pivot.minus").select(
-        (-F.col("pivot.minus")).alias("a"), F.col("pivot.n").alias("n_a"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
-    near = near.groupBy("a", "n_a", "b", "n_b").count()
+        (-F.col("pivot.minus")).alias("a"), F.col("pivot.n").alias("n_a"), F.col("pivot.central").alias("central"),
+        F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
+    near = near.groupBy("a", "n_a", "b", "n_b").agg(F.count("*").alias("count"), F.max("central").alias("central"))
     # lists of one group may have several pivots, so half of what links must share is asked for; the rest comes below
     n_a, n_b = F.col("n_a"), F.col("n_b")
-    edges = verified(docs, near.filter(2 * F.col("count") >= least_shared(n_a, n_b)).drop("count"), boundary).union(small)
+    near = cut(near.filter((2 * F.col("count") >= least_shared(n_a, n_b)) & alike(n_a, n_b) & (F.greatest(n_a, n_b) > boundary)))
+    edges = small
+    for number in range(ROUNDS):
+        if number:
+            named = cut(connected_components(edges))
+            of_a, of_b = (named.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")) for c in ("a", "b"))
+            apart = near.join(met, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
+            near = cut(apart.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(near.columns))
+        best = near.groupBy("b", "n_b").agg(F.max(F.struct("central", "count", (-F.col("a")).alias("minus"), "n_a")).alias("p"))
+        met = cut(best.select((-F.col("p.minus")).alias("a"), F.col("p.n_a").alias("n_a"), "b", "n_b"))
+        edges = edges.union(verified(docs, met, boundary))
 
     named = connected_components(edges).select(F.col("node").alias("doc_id"), "component")
     placed = entries.select("key", "doc_id", "n").join(cut(named), "doc_id", "left").withColumn(
@@ -205,9 +230,40 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id"))
                    & (F.col("a.component") != F.col("b.component")) & alike(n_a, n_b) & (F.greatest(n_a, n_b) > boundary))
     counted = pairs.groupBy(F.col("a.doc_id").alias("a"), n_a.alias("n_a"), F.col("b.doc_id").alias("b"), n_b.alias("n_b")).count()
-    enough = F.col("count") >= least_shared(F.col("n_a"), F.col("n_b"))
-    rest = verified(docs, counted.filter(enough).drop("count"), boundary)
-    return edges.union(rest).union(copies)
+    enough = counted.filter(F.col("count") >= least_shared(F.col("n_a"), F.col("n_b")))
+    ends = enough.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    open_ = cut(placed.select("doc_id", "component").distinct().join(cut(ends), "doc_id"))
+    return edges.union(between_components(docs, open_, boundary)).union(copies)
+
+
+def between_components(docs: DataFrame, open_: DataFrame, boundary: int) -> DataFrame:
+    """Links between documents of different components, among ``open_(doc_id, component)``.
+
+    Only shingles that several components hold can be shared, so the order of a set begins with those of its own
+    component alone, rare ones before frequent ones. A pair is met at the first shingle that both have; it links only if
+    what follows there in either set suffices. Of documents that share nearly as much as needed few get so far.
+    """
+    sets = _of_ids(docs, open_.select("doc_id"), "left_semi").mapInPandas(_plain_sets, "doc_id long, elements array<long>")
+    sets = cut(sets.join(open_, "doc_id").withColumn("row", F.monotonically_increasing_id()))
+    listed = sets.select("row", "component", F.explode("elements").alias("key"))
+    one = Window.partitionBy("key")
+    # what only one component holds is counted, not shuffled any further
+    held = listed.withColumn("held", F.count("*").over(one)).withColumn(
+        "shared", F.min("component").over(one) < F.max("component").over(one)).filter("shared")
+    ordered = held.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("held", "key"))).alias("keys"))
+    sized = sets.select("row", "doc_id", "component", F.size("elements").alias("n"))
+    n, own = F.col("n"), F.col("n") - F.size("keys")
+    able = ordered.join(sized, "row").filter(F.size("keys") >= F.ceil(n * PART / WHOLE))
+    shared = able.select("row", "doc_id", "component", "n", own.alias("own"), F.posexplode(
+        F.slice("keys", F.lit(1), F.greatest(prefix(n) - own, F.lit(0)).cast("int"))).alias("at", "k"))
+    entries = cut(shared.select("row", "doc_id", "component", "n", (n - F.col("own") - F.col("at")).alias("rest"), "k.key"))
+    a, b = entries.alias("a"), entries.alias("b")
+    n_a, n_b = F.col("a.n"), F.col("b.n")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id"))
+                   & (F.col("a.component") != F.col("b.component")) & (F.greatest(n_a, n_b) > boundary)
+                   & (F.least("a.rest", "b.rest") >= need(n_a, n_b)))
+    pairs = cut(pairs.select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct())
+    return linked(pairs, sets.select(F.col("row").alias("node"), "doc_id", "elements"))
 
 
 def least_shared(n_a: Column, n_b: Column) -> Column:
@@ -226,10 +282,16 @@ def verified(docs: DataFrame, pairs: DataFrame, boundary: int) -> DataFrame:
     pairs = cut(pairs.filter(alike(n_a, n_b) & (F.greatest(n_a, n_b) > boundary)))
     ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     sets = cut(_of_ids(docs, ids, "left_semi").mapInPandas(_plain_sets, "doc_id long, elements array<long>"))
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y")), "b")
+    return linked(pairs, sets.select(F.col("doc_id").alias("node"), "doc_id", "elements"))
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b)``, as ids, of those ``pairs(a, b)`` of nodes whose ``sets(node, doc_id, elements)`` link."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("doc_id").alias("id_a"), F.col("elements").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("doc_id").alias("id_b"), F.col("elements").alias("y")), "b")
     overlap = F.size(F.array_intersect("x", "y"))
-    return cut(both.filter(overlap >= need(F.size("x"), F.size("y"))).select("a", "b").distinct())
+    found = both.filter(overlap >= need(F.size("x"), F.size("y")))
+    return cut(found.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -244,25 +306,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents of ``docs`` that give their component its name, with their own columns."""
-    gone = cut(near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-
-
 def keep_one_row(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies, with its own columns; all rows without words stay, as they are in no group.
 
-    Unlike ``keep_one``, each row is a node of its own, so repeated rows, different texts of one id and rows without id
-    are met like any others. The row with the smallest id stays (rows without id come last), of several the one with the
-    smallest hash of its text. Rows are written with numbers first, so that a number keeps naming its row.
+    Each row is a node of its own, so repeated rows, different texts of one id and rows without id are met like any
+    others. The row with the smallest id stays (rows without id come last), of several the one with the smallest hash of
+    its text. Rows are written with numbers first, so that a number keeps naming its row; they are packed beside it, so
+    clashing column names do no harm.
     """
-    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
-    grouped = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
-    placed = cut(rows.select("_row", order.alias("place")).join(grouped, "_row"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
+    rows = cut(packed.withColumn("row", F.monotonically_increasing_id()))
+    grouped = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("own.text").alias("text"))).select(
+        F.col("doc_id").alias("row"), "component_id")
+    order = F.struct(F.col("own.doc_id").isNull(), "own.doc_id", F.xxhash64("own.text"), "row")
+    placed = cut(rows.select("row", order.alias("place")).join(grouped, "row"))
     first = placed.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    gone = cut(placed.join(first, "component_id").filter("place._row <> first._row").select("_row"))
+    gone = cut(placed.join(first, "component_id").filter("place.row <> first.row").select("row"))
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return rows.join(gone, "_row", "left_anti").drop("_row")
+    return rows.join(gone, "row", "left_anti").select("own.*")

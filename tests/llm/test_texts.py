@@ -119,12 +119,37 @@ def test_boundary_follows_the_cost():
     assert jj.choose_boundary({16: 1000}, met=0.0) < 16
 
 
-def test_one_of_each_group_stays(docs, no_docs, rows):
-    kept = jj.keep_one(docs)
-    expected = groups(rows)
-    assert kept.columns == docs.columns
-    assert as_rows(kept, "doc_id") == sorted(((r[0],) for r in rows if expected.get(r[0]) == r[0]), key=repr)
-    assert jj.near_duplicates(no_docs).count() == 0 and jj.keep_one(no_docs).count() == 0
+def test_an_id_with_several_texts_has_the_links_of_all(spark, no_docs):
+    x, y = sentence(50, 40), sentence(51, 40)
+    near_y = y.split()
+    near_y[3] = "changed"
+    frame = spark.createDataFrame([(1, x), (3, x), (3, y), (5, " ".join(near_y)), (6, sentence(52, 40))], "doc_id long, text string")
+    assert as_rows(jj.near_duplicates(frame), "doc_id", "component_id") == [(1, 1), (3, 1), (3, 1), (5, 1), (6, 6)]
+    assert jj.near_duplicates(no_docs).count() == 0 and jj.keep_one_row(no_docs).count() == 0
+
+
+def test_groups_around_the_threshold_meet_few_pairs(spark, monkeypatch):
+    """Texts that differ from a common one by as much as may be are mostly no links of each other."""
+    rows, base = [], sentence(60, 120).split()
+    for i in range(60):
+        changed = list(base)
+        for k in range(1 + i % 4):
+            changed[(i * 7 + k * 29) % len(base)] = f"own{i}x{k}"
+        rows.append((i, " ".join(changed)))
+    pairs = []
+    plain = jj.linked
+    monkeypatch.setattr(jj, "linked", lambda p, sets: (pairs.append(p.count()), plain(p, sets))[1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dict(as_rows(jj.near_duplicates(frame), "doc_id", "component_id")) == groups(rows)
+    assert sum(pairs) < 60 * 59 / 4
+
+
+def test_columns_with_clashing_names_stay(spark):
+    rows = [(1, sentence(70, 30), 5, "a", "z"), (2, sentence(70, 30), 6, "b", "y"), (3, sentence(71, 30), 7, "c", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _row int, row string, own string")
+    kept = jj.keep_one_row(frame)
+    assert kept.columns == frame.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
 
 
 def test_one_row_of_each_group_stays_in_the_pipeline(spark, no_docs):
@@ -162,7 +187,10 @@ def repeats(texts):
                 gone[i : i + 200] = True
         spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(d) else 0
         kept = bytes(np.frombuffer(d, dtype=np.uint8)[~gone])
-        found.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
+        edges = [0, *(np.flatnonzero(np.diff(gone)) + 1).tolist(), len(d)] if len(d) else [0]
+        pieces = [d[a:b] for a, b in zip(edges, edges[1:]) if not gone[a]]
+        readable = "".join(p.decode("utf-8", "ignore") for p in pieces)
+        found.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), readable))
     return found
 
 
@@ -189,12 +217,40 @@ def test_repeated_bytes_match_all_strings(spark, docs, rows, monkeypatch, many,
 
 def test_texts_without_repeats(docs, no_docs, rows):
     result = rb.remove_repeats(docs)
-    expected = sorted((f[4].decode("utf-8", "ignore") for f in repeats([r[1] for r in rows])), key=repr)
+    expected = sorted((f[4] for f in repeats([r[1] for r in rows])), key=repr)
     assert result.columns == docs.columns
     assert sorted((r["text"] or "" for r in result.collect()), key=repr) == expected
     assert rb.without_repeats(no_docs).count() == 0 and rb.remove_repeats(no_docs).count() == 0
 
 
+def test_pieces_of_cut_characters_do_not_join(spark):
+    """What stays of one character before a span and of another behind it makes no third one."""
+    passage = "p" * 198
+    first, second = f"headĩ{passage}é tail one", f"other ũ{passage}è"
+    # the span reaches from the second byte of one letter to the first byte of another
+    frame = spark.createDataFrame([(1, first), (2, second)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in rb.remove_repeats(frame).collect()}
+    assert "p" not in found[1] + found[2]
+    assert found == {1: "head tail one", 2: "other "}
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    shared = sentence(80, 60)
+    rows = [(1, f"{i} {sentence(90 + i, 20)} " + (shared if i < 3 else "")) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(r["text"] for r in rb.remove_repeats(frame).collect())
+    assert found == sorted(f[4] for f in repeats([r[1] for r in rows]))
+
+
+def test_rows_without_id_are_mixed_one_by_one(spark):
+    rows = [(None, f"w{i} " * 10, "a") for i in range(300)] + [(i, "x " * 100, "b") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = sm.mixture(frame, entropy_share=None, max_epochs=None, budget=21_000, block_tokens=200)
+    taken = sm.draws(frame, plan).filter("source = 'a'").groupBy("epoch").count().collect()
+    quota = next(r for r in plan.collect() if r["source"] == "a")["weight"] * 21_000 / 10
+    assert abs(sum(r["count"] for r in taken) - quota) <= 1.5
+
+
 def test_mixing_draws_within_budget_and_in_blocks(spark):
     rng = np.random.default_rng(3)
     rows = [(i, "w " * int(rng.integers(1, 40)), "big" if i % 3 else f"s{i % 5}") for i in range(900)]
