@@ -402,6 +402,24 @@ def j12(spark, d):
         "case_id", F.coalesce("controls", F.lit(0)).cast("long").alias("controls"), "nearest")
 
 
+@query("j12_two_calipers", oracle("""select c.person_id as case_id, count(k.person_id) as controls,
+      coalesce(sum(abs(c.age - k.age) + abs(c.ehr_days - k.ehr_days)), 0) as apart
+    from people c left join people k on k.is_case = 0 and abs(c.age - k.age) <= 2 and abs(c.ehr_days - k.ehr_days) <= 120.5
+    where c.is_case = 1 group by 1"""))
+def j12_two(spark, d):
+    """Two calipers at once, no exact column: both are bands of the join key."""
+    values = ["age", "ehr_days"]
+    people = people_of(spark, d)
+    types = people.filter("is_case = 1").select(*values).distinct()
+    cells = people.filter("is_case = 0").groupBy(*values).agg(F.count("*").alias("n"))
+    apart = F.abs(F.col("age") - F.col("age_control")) + F.abs(F.col("ehr_days") - F.col("ehr_days_control"))
+    met = caliper_join(types, cells, [], {"age": 2.0, "ehr_days": 120.5}).groupBy(*values).agg(
+        F.sum("n_control").alias("controls"), F.sum(apart * F.col("n_control")).alias("apart"))
+    cases = people.filter("is_case = 1").select(F.col("person_id").alias("case_id"), *values)
+    return cases.join(met, values, "left").select("case_id", *[
+        F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("controls", "apart")])
+
+
 @query("j14_role_overlap", oracle(
     "select person_id from features where disease = 1 and any_disease = 1"))
 def j14(spark, d):

@@ -14,7 +14,7 @@ from cohortlane.sources import store
 
 from .queries_data import folder
 from .registry import query, rd
-from .sql import oracle
+from .sql import greedy, oracle
 from .study import MATCHING, STUDY, classified_of, features_of, kept, matched_of, people_of, results_of
 
 SPEC = MatchSpec.from_dict(MATCHING)
@@ -62,6 +62,33 @@ def m3(spark, d):
     return edges(spark, d, MatchSpec(exact=("sex_at_birth",), distance=("age", "ehr_days"), ratio=3, replace=True))
 
 
+THREE_COLUMNS = {
+    "distance_rows": """select is_case, person_id, cast(age as double) as x, cast(ehr_days as double) as y,
+          cast(sex_at_birth <> (select min(sex_at_birth) from people) as double) as z from people""",
+    "pooled3": """select sum((n - 1) * xx) / sum(n - 1) as xx, sum((n - 1) * xy) / sum(n - 1) as xy,
+          sum((n - 1) * xz) / sum(n - 1) as xz, sum((n - 1) * yy) / sum(n - 1) as yy,
+          sum((n - 1) * yz) / sum(n - 1) as yz, sum((n - 1) * zz) / sum(n - 1) as zz
+        from (select count(*) as n, var_samp(x) as xx, covar_samp(x, y) as xy, covar_samp(x, z) as xz,
+          var_samp(y) as yy, covar_samp(y, z) as yz, var_samp(z) as zz from distance_rows group by is_case)""",
+    # Cofactors: the inverse but for the determinant, which orders nothing.
+    "cofactors": """select yy * zz - yz * yz as a, xx * zz - xz * xz as b, xx * yy - xy * xy as c,
+          xz * yz - xy * zz as ab, xy * yz - xz * yy as ac, xy * xz - xx * yz as bc from pooled3""",
+}
+
+
+@query("m3_grid_with_factor", oracle("""select case_id, slot, control_id from (
+      select c.person_id as case_id, k.person_id as control_id, row_number() over (partition by c.person_id
+        order by round(a * (c.x - k.x) * (c.x - k.x) + b * (c.y - k.y) * (c.y - k.y) + f.c * (c.z - k.z) * (c.z - k.z)
+          + 2 * ab * (c.x - k.x) * (c.y - k.y) + 2 * ac * (c.x - k.x) * (c.z - k.z) + 2 * bc * (c.y - k.y) * (c.z - k.z), 3),
+          k.person_id) as slot
+      from distance_rows c join distance_rows k on c.is_case = 1 and k.is_case = 0 cross join cofactors f)
+    where slot <= 4""", **THREE_COLUMNS))
+def m3_grid(spark, d):
+    """The path of large strata: one stratum of everybody, two numbers and a factor, blocks of a grid."""
+    spec = MatchSpec(distance=("age", "ehr_days", "sex_at_birth"), categorical=("sex_at_birth",), ratio=4, replace=True)
+    return edges(spark, d, spec, mt.MatchLimits(stratum_rows=1, window=16))
+
+
 def logistic_newton(steps: int) -> dict[str, str]:
     """Unrolled Newton steps of role on age, centred at 40, in SQL."""
     ctes = {"logit_0": "select cast(0 as double) as b0, cast(0 as double) as b1"}
@@ -106,6 +133,20 @@ def m5_chunks(spark, d):
     return edges(spark, d, SPEC_R4, mt.MatchLimits(stratum_rows=1, chunk=4000))
 
 
+@query("m5_greedy_one_stratum", oracle(EDGE_SQL + "edges_one", **greedy("one", 2, "abs(k.age - a.age) <= 3")))
+def m5_one_stratum(spark, d):
+    """Without exact columns everybody is one stratum; served in rounds, cells from the blocks of a grid."""
+    spec = MatchSpec(distance=("age",), calipers={"age": 3}, ratio=2)
+    return edges(spark, d, spec, mt.MatchLimits(stratum_rows=1, stratum_pairs=0, chunk=120, window=8))
+
+
+@query("m6_replacement_grid", oracle(EDGE_SQL + "edges_rep"))
+def m6_grid(spark, d):
+    """The path of large strata, forced on every stratum: same edges."""
+    spec = MatchSpec.from_dict({**MATCHING, "replace": True})
+    return edges(spark, d, spec, mt.MatchLimits(stratum_rows=1, window=2))
+
+
 @query("m6_replacement", oracle(EDGE_SQL + "edges_rep"))
 def m6(spark, d):
     return edges(spark, d, MatchSpec.from_dict({**MATCHING, "replace": True}))

@@ -22,7 +22,10 @@ def condition_set(seed: int) -> str:
         (select descendant_concept_id from concept_ancestor where ancestor_concept_id = {seed}))"""
 
 
-def greedy(name: str, ratio: int) -> dict[str, str]:
+SAME_SEX_AND_AGE = "k.sex_at_birth = a.sex_at_birth and abs(k.age - a.age) <= 3"
+
+
+def greedy(name: str, ratio: int, eligible: str = SAME_SEX_AND_AGE) -> dict[str, str]:
     """Agents one after another, each taking the nearest free control: the definition as a recursion."""
     return {
         f"agents_{name}": f"""select row_number() over (order by slot, person_id) as turn, slot, person_id as case_id,
@@ -35,7 +38,7 @@ def greedy(name: str, ratio: int) -> dict[str, str]:
             from greedy_{name} g join agents_{name} a on a.turn = g.turn + 1
             left join lateral (
               select arg_min(k.person_id, (abs(k.age - a.age), k.person_id)) as kid from people k
-              where k.is_case = 0 and k.sex_at_birth = a.sex_at_birth and abs(k.age - a.age) <= 3
+              where k.is_case = 0 and {eligible}
                 and not list_contains(g.used, k.person_id)) c on true""",
         f"edges_{name}": f"select case_id, slot, control_id from greedy_{name} where control_id is not null",
     }

@@ -67,8 +67,8 @@ class Chooser:
 
     def __init__(self, market: CellMarket, values, radius):
         self.market = market
-        # Beyond the caliper there is nothing to miss, so the radius no longer limits anything.
-        self.complete = np.isinf(radius) or radius > market.reach
+        # Whoever fetched the cells gives an infinite radius where a caliper or the end of the cells leaves none out.
+        self.complete = np.isinf(radius)
         self.groups = iter(market.preference(values, np.inf if self.complete else radius))
         self.heads: list = []
 

@@ -17,6 +17,7 @@ priority order, each chunk seeing only its own cases and the next free controls
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,8 @@ from .estimation import fit_logistic, row_patterns, standardised
 from .greedy import CellMarket, choose, nearest_ids
 
 EDGES = "stratum string, case_id string, slot int, control_id string"
+#: Coordinates of the grid that finds near cells: a block is a box and those around it, 27 with three axes.
+GRID_AXES = 3
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,7 @@ class MatchLimits:
     stratum_rows: int = 200_000
     stratum_pairs: int = 20_000_000
     chunk: int = 200_000
+    #: Cells that a block of the grid holds if they are spread evenly.
     window: int = 32
 
 
@@ -248,61 +252,111 @@ def propensity(pool: DataFrame, columns: list[Column], spec: MatchSpec):
 # --- joins within reach -----------------------------------------------------------------------------------
 
 
+def caliper_bands(x: Column, width: float, *, copied: bool) -> Column:
+    """Bands of twice the caliper: the one a value lies in, or the one or two that its reach touches."""
+    band = 2.0 * width
+    if not copied:
+        return F.floor(x / F.lit(band))
+    # A hair more than the caliper, for rounding; the caliper itself is tested afterwards.
+    slack = width * (1 + 1e-9) + F.abs(x) * 1e-12
+    return F.explode(F.sequence(F.floor((x - slack) / F.lit(band)), F.floor((x + slack) / F.lit(band))))
+
+
 def caliper_join(
-    cases: DataFrame, controls: DataFrame, exact: list[str], calipers: dict[str, float], *, suffix: str = "_control"
+    cases: DataFrame, controls: DataFrame, exact: list[str], calipers: dict[str, float], *, suffix: str = "_control",
+    copied: str | None = None,
 ) -> DataFrame:
     """Pairs with equal ``exact`` columns and every calipered column within its width.
 
-    The widest-cutting caliper is put into buckets of its own width, so a case meets the controls of three
-    buckets in an equi-join; a width of 0 is plain equality. Run it on distinct values with counts when the
-    people themselves need not be paired.
+    Every calipered column is cut into bands of twice its width and all bands are keys of one equi-join, so a value
+    that many share in one column is still split by the others; a width of 0 is plain equality. The rows of one side
+    are copied to the bands they reach, 1.5 a column on average: of ``copied`` ("cases" or "controls"), otherwise of
+    the side with fewer rows, which are then counted. Rows with a missing calipered value meet nothing. Run it on
+    distinct values with counts when the people themselves need not be paired.
     """
+    if copied not in (None, "cases", "controls"):
+        raise DataContractError("Copy the rows of cases or of controls.")
     renamed = controls.select(*[F.col(c).alias(f"{c}{suffix}") for c in controls.columns])
     condition = [F.col(c).eqNullSafe(F.col(f"{c}{suffix}")) for c in exact]
     equal = [c for c, width in calipers.items() if width == 0]
     ranged = {c: width for c, width in calipers.items() if width > 0}
     condition += [F.col(c) == F.col(f"{c}{suffix}") for c in equal]
     condition += [F.abs(F.col(c) - F.col(f"{c}{suffix}")) <= width for c, width in ranged.items()]
-    left, right = cases, renamed
-    if ranged:
-        column, width = next(iter(ranged.items()))
-        bucket = F.floor(F.col(column) / F.lit(width))
-        left = left.withColumn("_bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-        right = right.withColumn("_near", F.floor(F.col(f"{column}{suffix}") / F.lit(width)))
-        condition.append(F.col("_bucket") == F.col("_near"))
-    return left.join(right, all_true(condition)).drop("_bucket", "_near")
-
+    if ranged and copied is None:
+        copied = "cases" if cases.count() <= controls.count() else "controls"
+    left, right, made = cases, renamed, []
+    for i, (column, width) in enumerate(ranged.items()):
+        left = left.withColumn(f"_band{i}", caliper_bands(F.col(column), width, copied=copied == "cases"))
+        other = caliper_bands(F.col(f"{column}{suffix}"), width, copied=copied == "controls")
+        right = right.withColumn(f"_other_band{i}", other)
+        condition.append(F.col(f"_band{i}") == F.col(f"_other_band{i}"))
+        made += [f"_band{i}", f"_other_band{i}"]
+    return left.join(right, all_true(condition)).drop(*made)
+
+
+def grid_axes(space: Geometry, values: Column) -> list[Column]:
+    """Coordinates in which the distance is Euclidean, the first ``GRID_AXES`` of them.
+
+    A distance is at least the gap in any one of them, so columns beyond the grid cost pruning but no control.
+    """
+    if not space.weights:
+        return [values[0]]
+    return [linear([values[i] for i in range(space.dimensions)], row) for row in space.weights[:GRID_AXES]]
 
-def axis_windows(types: DataFrame, cells: DataFrame, reach: int) -> DataFrame:
-    """(stratum, values, cells, radius): the cells at most ``reach`` places away on the first coordinate.
 
-    Everything not among them is at least ``radius`` away; the radius is infinite once nothing is left out.
-    Places come from numbering types and cells together, so the join is an equi-join on (stratum, place).
-    """
-    both = types.select("stratum", "values", F.lit(True).alias("is_type")).unionByName(
-        cells.select("stratum", "values", F.lit(False).alias("is_type"))
-    )
-    placed = numbered(
-        both.withColumn("axis", F.col("values")[0]),
-        ["stratum"], [F.col("axis").asc(), F.col("is_type").desc(), F.col("values").asc()], "place",
+def grid_sides(cells: DataFrame, space: Geometry, want: int) -> DataFrame:
+    """(stratum, low, high, base): extent of each stratum's cells, and the box side at which a block of
+    neighbouring boxes holds about ``want`` cells if they are spread evenly."""
+    axes = grid_axes(space, F.col("values"))
+    found = cells.groupBy("stratum").agg(
+        F.count("*").alias("n"),
+        F.array(*[F.min(y) for y in axes]).alias("low"), F.array(*[F.max(y) for y in axes]).alias("high"),
     )
-    near = placed.filter("is_type").select(
-        "stratum", "values", F.col("axis").alias("centre"), F.col("place").alias("own"),
-        F.explode(F.sequence(F.col("place") - reach, F.col("place") + reach)).alias("place"),
+    wide = F.filter(F.zip_with("high", "low", lambda high, low: high - low), lambda e: e > 0)
+    per_box = F.log(F.lit(float(want)) / F.col("n")) / F.size("wide") - F.log(F.lit(3.0))
+    size = F.aggregate("wide", F.lit(0.0), lambda total, e: total + F.log(e)) / F.size("wide")
+    return found.withColumn("wide", wide).select(
+        "stratum", "low", "high", F.when(F.size("wide") > 0, F.exp(size + per_box)).otherwise(1.0).alias("base")
     )
-    other = placed.select(
-        "stratum", "place", F.col("values").alias("cell"), F.col("axis"), F.col("is_type").alias("other_type")
+
+
+def grid_radii(types: DataFrame, sides: DataFrame, space: Geometry) -> DataFrame:
+    """(stratum, values, side, box, radius): the box of each type, and how far its block of boxes vouches.
+
+    Cells outside the block are at least ``radius`` away, in units of the first coordinate. A face of the block
+    with no cells behind it, or none within the first caliper, limits nothing; without such faces, and in a
+    stratum without cells, the radius is infinite.
+    """
+    axes = grid_axes(space, F.col("values"))
+    free, gaps = F.lit(float("inf")), []
+    for i, y in enumerate(axes):
+        # The slack is far above the rounding of a box number and far below anything a caliper tells apart.
+        slack = F.col("side") * 1e-9 + F.abs(y) * 1e-12
+        beyond = float(space.axis_reach) * space.floor * (1 + 1e-9) if i == 0 else float("inf")
+        below = y - (F.col("box")[i] - 1) * F.col("side") - slack
+        above = (F.col("box")[i] + 2) * F.col("side") - y - slack
+        gaps.append(F.when((F.col("low")[i] >= y - below) | (below > beyond), free).otherwise(below))
+        gaps.append(F.when((F.col("high")[i] <= y + above) | (above > beyond), free).otherwise(above))
+    joined = types.select("stratum", "values").join(broadcast_if_small(sides), "stratum", "left")
+    placed = joined.withColumn("box", F.array(*[F.floor(y / F.col("side")) for y in axes]))
+    nearest = F.least(*gaps) / F.lit(space.floor)
+    return placed.select(
+        "stratum", "values", "side", "box", F.when(F.col("side").isNull(), free).otherwise(nearest).alias("radius")
     )
-    met = near.join(other, ["stratum", "place"])
-    left = F.min("place") == F.min("own") - reach
-    right = F.max("place") == F.max("own") + reach
-    return met.groupBy("stratum", "values").agg(
-        F.collect_list(F.when(~F.col("other_type"), F.col("cell"))).alias("cells"),
-        F.least(
-            F.when(left, F.min("centre") - F.min("axis")).otherwise(F.lit(float("inf"))),
-            F.when(right, F.max("axis") - F.max("centre")).otherwise(F.lit(float("inf"))),
-        ).alias("radius"),
+
+
+def grid_meetings(placed: DataFrame, cells: DataFrame, sides: DataFrame, space: Geometry) -> DataFrame:
+    """Each type of ``grid_radii`` with the cells of its box and the boxes around, by an equi-join on the box."""
+    axes = grid_axes(space, F.col("values"))
+    around = [
+        F.array(*[F.col("box")[i] + step for i, step in enumerate(steps)])
+        for steps in itertools.product((-1, 0, 1), repeat=len(axes))
+    ]
+    boxed = cells.join(broadcast_if_small(sides.select("stratum", "side")), "stratum").withColumn(
+        "box", F.array(*[F.floor(y / F.col("side")) for y in axes])
     )
+    asked = placed.filter("side is not null").select("stratum", "values", "radius", F.explode(F.array(*around)).alias("box"))
+    return asked.join(boxed.drop("side").withColumnRenamed("values", "cell"), ["stratum", "box"]).drop("box")
 
 
 def reachable(space: Geometry, mine: Column, other: Column) -> Column:
@@ -362,7 +416,9 @@ def nearest_with_replacement(core: DataFrame, spec: MatchSpec, space: Geometry,
     """Replacement for strata of any size. Lists are made once per distinct case value.
 
     From a cell only its ``ratio`` smallest ids can ever be used; that cut is a ranked filter Spark applies
-    before the shuffle. A list is final when it is full within the radius its window vouches for.
+    before the shuffle. Types then meet the cells of their block in a grid, and the ``ratio`` nearest of them are
+    again a ranked filter, so that tasks keep ``ratio`` rows a type and not what they met. A list is final when
+    it is full within the radius of its block; the others go on with boxes of twice the side.
     """
     by_id = Window.partitionBy("stratum", "values").orderBy("person_id")
     heads = cut(
@@ -372,34 +428,35 @@ def nearest_with_replacement(core: DataFrame, spec: MatchSpec, space: Geometry,
         .groupBy("stratum", "values")
         .agg(F.array_sort(F.collect_list("person_id")).alias("ids"))
     )
-    types = cut(core.filter("is_case = 1").select("stratum", "values").distinct())
-    reach, lists, pending = max(spec.ratio + 1, limits.window), None, types
+    pending = cut(core.filter("is_case = 1").select("stratum", "values").distinct())
+    sides = cut(grid_sides(heads, space, max(spec.ratio + 1, limits.window)).withColumn("side", F.col("base")))
+    nearest_first = Window.partitionBy("stratum", "values").orderBy("distance", "control_id")
+    lists = None
     while True:
-        windows = axis_windows(pending, heads, reach)
-        met = windows.select("stratum", "values", "radius", F.explode_outer("cells").alias("cell")).join(
-            heads.select("stratum", F.col("values").alias("cell"), "ids"), ["stratum", "cell"], "left"
-        )
+        placed = cut(grid_radii(pending, sides, space))
         far = distance_between(space, F.col("values"), F.col("cell"))
-        everything = (F.col("radius") == float("inf")) | (F.col("radius") > F.lit(float(space.axis_reach)))
-        usable = F.coalesce(
-            F.col("ids").isNotNull()
-            & reachable(space, F.col("values"), F.col("cell"))
-            & (everything | (far < F.col("radius") * F.lit(space.floor))),
-            F.lit(False),
+        near = (
+            grid_meetings(placed, heads, sides, space)
+            .filter(reachable(space, F.col("values"), F.col("cell")))
+            .withColumn("distance", far)
+            .filter(F.col("distance") < F.col("radius") * F.lit(space.floor))
+            .select("stratum", "values", "distance", F.explode("ids").alias("control_id"))
+            .withColumn("place", F.row_number().over(nearest_first))
+            .filter(F.col("place") <= spec.ratio)
+            .groupBy("stratum", "values")
+            .agg(F.array_sort(F.collect_list(F.struct("distance", "control_id"))).alias("options"))
         )
-        entries = F.transform(F.col("ids"), lambda i: F.struct(far.alias("distance"), i.alias("control_id")))
         found = cut(
-            met.groupBy("stratum", "values", "radius")
-            .agg(F.flatten(F.collect_list(F.when(usable, entries))).alias("options"))
-            .withColumn("options", F.slice(F.array_sort("options"), 1, spec.ratio))
-            .withColumn("final", everything | (F.size("options") >= spec.ratio))
+            placed.select("stratum", "values", "radius").join(near, ["stratum", "values"], "left").withColumn(
+                "final", (F.col("radius") == float("inf")) | (F.coalesce(F.size("options"), F.lit(0)) >= spec.ratio)
+            )
         )
-        done = found.filter("final").select("stratum", "values", "options")
+        done = found.filter("final and options is not null").select("stratum", "values", "options")
         lists = done if lists is None else lists.unionByName(done)
         pending = found.filter("not final").select("stratum", "values")
         if pending.limit(1).count() == 0:
             break
-        reach *= 4
+        sides = sides.withColumn("side", F.col("side") * 2)
     cases = core.filter("is_case = 1").select("stratum", "values", F.col("person_id").alias("case_id"))
     return (
         cases.join(broadcast_if_small(lists), ["stratum", "values"])
@@ -516,8 +573,7 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
             radius = mine["radius"].to_numpy()[first]
             if offered.empty:
                 # No free control is left within anybody's proven reach.
-                bounded = ~(np.isinf(radius) | (radius > shape.axis_reach))
-                served = len(mine) if not bounded.any() else 0
+                served = len(mine) if np.isinf(radius).all() else 0
                 done = pd.DataFrame([[key[0], None, 0, None, None, served]], columns=columns)
                 return done
             market = _market(offered, shape)
@@ -566,7 +622,7 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
 def _cells_in_reach(kinds: DataFrame, free: DataFrame, space: Geometry, limits: MatchLimits):
     """Distinct cells each stratum's chunk may need, and per type the radius they vouch for.
 
-    Where types times cells is small all free cells go; elsewhere only a window around each type.
+    Where types times cells is small all free cells go; elsewhere only those of the grid's blocks around each type.
     """
     sizes = kinds.groupBy("stratum").agg(F.count("*").alias("types")).join(
         free.groupBy("stratum").agg(F.count("*").alias("cells")), "stratum", "left"
@@ -579,10 +635,16 @@ def _cells_in_reach(kinds: DataFrame, free: DataFrame, space: Geometry, limits:
     if sized.filter("not few").limit(1).count() == 0:
         return everything, infinite
     wide = kinds.join(small, "stratum", "left_anti")
-    growth = wide.agg(F.max("growth")).first()[0]
-    windows = cut(axis_windows(wide, free.join(small, "stratum", "left_anti"), int(limits.window * growth)))
-    near = windows.select("stratum", F.explode("cells").alias("values")).distinct()
-    return everything.unionByName(near), infinite.unionByName(windows.select("stratum", "values", "radius"))
+    others = free.join(small, "stratum", "left_anti").select("stratum", "values")
+    pace = wide.groupBy("stratum").agg(F.max("growth").alias("growth"))
+    sides = cut(
+        grid_sides(others, space, limits.window)
+        .join(broadcast_if_small(pace), "stratum")
+        .withColumn("side", F.col("base") * F.col("growth"))
+    )
+    placed = cut(grid_radii(wide, sides, space))
+    near = grid_meetings(placed, others, sides, space).select("stratum", F.col("cell").alias("values")).distinct()
+    return everything.unionByName(near), infinite.unionByName(placed.select("stratum", "values", "radius"))
 
 
 def _slices(reached: DataFrame, kinds: DataFrame, free: DataFrame, controls: DataFrame, limits: MatchLimits):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from cohortlane import MatchSpec
 from cohortlane.errors import DataContractError
 from cohortlane.operators.matching import (
-    MatchLimits, caliper_join, core_pool, criteria_violations, geometry, greedy_edges, match_groups, match_pool,
-    membership_violations, replacement_edges,
+    MatchLimits, caliper_bands, caliper_join, core_pool, criteria_violations, geometry, greedy_edges, grid_meetings,
+    grid_radii, grid_sides, match_groups, match_pool, membership_violations, replacement_edges,
 )
 from cohortlane.session import numbered, running_total
 from cohortlane.sources.store import fingerprint
@@ -251,6 +251,70 @@ def test_caliper_join_equals_the_plain_condition(spark):
         assert found == expected
 
 
+def test_a_common_age_is_split_by_the_other_caliper(spark):
+    """Everybody is 50; rows that meet in the join stay in proportion to the pairs it returns."""
+    frame = spark.createDataFrame(pd.DataFrame({"person_id": range(2000), "age": 50.0, "bmi": np.arange(2000) / 10}))
+    cases, controls = frame.filter("person_id % 4 = 0"), frame.filter("person_id % 4 > 0")
+    calipers = {"age": 2.0, "bmi": 0.5}
+    pairs = {
+        side: {(r[0], r[1]) for r in caliper_join(cases, controls, [], calipers, copied=side).select(
+            "person_id", "person_id_control").collect()}
+        for side in ("cases", "controls", None)
+    }
+    # Differences are taken as the join takes them, in doubles.
+    x = np.arange(2000) / 10
+    assert pairs[None] == {(i, j) for i in range(0, 2000, 4) for j in range(max(i - 6, 0), min(i + 7, 2000))
+                           if j % 4 and abs(x[i] - x[j]) <= 0.5}
+    assert pairs["cases"] == pairs["controls"] == pairs[None]
+    banded = [
+        side.select(*[caliper_bands(F.col(c), w, copied=copied).alias(f"{c}_band") for c, w in calipers.items()][:1],
+                    "bmi").select("age_band", caliper_bands(F.col("bmi"), 0.5, copied=copied).alias("bmi_band"))
+        for side, copied in ((cases, True), (controls, False))
+    ]
+    assert banded[0].join(banded[1], ["age_band", "bmi_band"]).count() <= 4 * len(pairs[None])
+    with pytest.raises(DataContractError):
+        caliper_join(cases, controls, [], calipers, copied="both")
+
+
+def test_caliper_join_on_the_very_edge_and_on_nothing(spark):
+    values = [0.1, 0.2, 0.30000000000000004, 0.4, -0.1, -1e9, 1e9, None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "person_id int, x double")
+    expected = {(i, j) for i, a in enumerate(values) for j, b in enumerate(values)
+                if a is not None and b is not None and abs(a - b) <= 0.1}
+    for side in ("cases", "controls"):
+        joined = caliper_join(frame, frame, [], {"x": 0.1}, copied=side)
+        assert {(r.person_id, r.person_id_control) for r in joined.collect()} == expected
+    assert caliper_join(frame.filter("false"), frame, [], {"x": 0.1}).count() == 0
+
+
+def test_a_block_holds_every_cell_within_its_radius(spark):
+    """Three whitened columns: whatever is nearer than the radius is met, at any side, and far types see the end."""
+    rng = np.random.default_rng(4)
+    rows = people_frame(4, 160, continuous=True).assign(hdl=rng.normal(50, 9, 160).round(1))
+    rows.loc[rows.index[:2], "age"] = 400.0
+    spec = MatchSpec(distance=["age", "bmi", "hdl"], replace=True)
+    pool = match_pool(spark.createDataFrame(rows), spec)
+    space = geometry(pool.filter("valid"), spec)
+    core = core_pool(pool, spec, space)
+    types = core.filter("is_case = 1").select("stratum", "values").distinct()
+    cells = core.filter("is_case = 0").select("stratum", "values").distinct()
+    weights = np.array(space.weights)
+    every = [tuple(r["values"]) for r in cells.collect()]
+    fewest = []
+    for factor in (1.0, 4.0, 1e6):
+        sides = grid_sides(cells, space, 8).withColumn("side", F.col("base") * factor)
+        placed = grid_radii(types, sides, space)
+        met: dict = {}
+        for r in grid_meetings(placed, cells, sides, space).collect():
+            met.setdefault(tuple(r["values"]), set()).add(tuple(r["cell"]))
+        for r in placed.collect():
+            mine = tuple(r["values"])
+            near = {c for c in every if np.linalg.norm(weights @ (np.array(c) - np.array(mine))) < r["radius"] * space.floor}
+            assert near <= met.get(mine, set())
+        fewest.append(min(len(v) for v in met.values()))
+    assert fewest[0] < len(every) and fewest[-1] == len(every)
+
+
 def test_distributed_numbering_and_running_totals(spark):
     rng = np.random.default_rng(2)
     rows = pd.DataFrame({"k": np.where(rng.random(3000) < 0.7, "hot", "cold"), "v": rng.permutation(3000), "w": rng.integers(1, 9, 3000)})
