@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Window, functions as F
 
 from cohortlane import MatchSpec, ModelSpec, Predicate, PublicationSpec, ReportSpec
+from cohortlane.config import sensitivity_spec
 from cohortlane.functions import scalars as sc
 from cohortlane.operators import matching as mt, models as md, release as rl, screening as sr, summaries as sm
 from cohortlane.operators.balance import balance_table, person_weights
 from cohortlane.operators.cohorts import flow_counts
-from cohortlane.plans.study_run import build_report
-from cohortlane.sources import store
+from cohortlane.operators.provenance import reviewed
+from cohortlane.plans.study_run import build_report, load_report, save_report
 
 from .queries_data import folder
 from .registry import query, rd
@@ -764,6 +767,57 @@ def r14(spark, d):
     return rl.check_coverage({"main": report_of(spark, d)}, SELECTIONS, PUBLICATION).select("Content", "Status")
 
 
+METHODS_SQL = """select 'r' || cast(ratio as varchar) as report, stage, item, case stage when 'study' then
+      case item when 'identity' then 'orders_demo' else cast(ratio as varchar) end else '1 to ' || cast(ratio as varchar) end as value
+    from (select unnest([2, 4]) as ratio) cross join (
+      select unnest(['study', 'study', 'matching']) as stage, unnest(['identity', 'version', 'controls a case']) as item)
+    where (select count(*) from people) > 0
+    union all select 'r2', 'review', 'status', 'accepted' union all select 'r2', 'review', 'reviewer', 'a reader'
+    union all select 'r4', 'review', 'status', 'not reviewed'"""
+
+
+def saved_reports(spark, d):
+    """Two studies, of two and of four controls a case, saved and loaded again."""
+
+    def make():
+        loaded = {}
+        for ratio in (2, 4):
+            study = sensitivity_spec(STUDY, version=str(ratio), matching=MatchSpec.from_dict({**MATCHING, "ratio": ratio}))
+            results = results_of(spark, d, ratio=ratio)
+            report = build_report(matched_of(spark, d, ratio=ratio), results, flow_counts(classified_of(spark, d)), study, CONTENT)
+            if ratio == 2:
+                report.methods = reviewed(report.methods, "accepted", "a reader")
+            path = folder(spark)
+            save_report(spark, path, report)
+            loaded[f"r{ratio}"] = load_report(spark, path)
+        return loaded
+
+    return kept(spark, d, "saved reports", make)
+
+
+@query("r14_methods_of_saved_reports", oracle(METHODS_SQL))
+def r14_methods(spark, d):
+    rows = rl.combined_methods(saved_reports(spark, d))
+    shown = "stage in ('study', 'review') or item = 'controls a case'"
+    return rows.filter(shown).select("report", "stage", "item", "value")
+
+
+def two_flows(select: str) -> str:
+    """Flow rows of both studies with whether any count of a study must be hidden."""
+    return f"""select report, {select} from flows join (
+      select x.report, bool_or(x.n between 1 and 20 or abs(x.n - y.n) between 1 and 20) as hidden
+      from flows x join flows y on x.report = y.report group by 1) using (report)"""
+
+
+@query("r15_loaded_studies", oracle(
+    two_flows("""upper(stage[1]) || replace(stage[2:], '_', ' ') as "Stage",
+      case when hidden then 'Suppressed' else cast(n as varchar) end as "Participants" """),
+    flows=f"""select 'r2' as report, * from ({FLOW_SQL})
+      union all select 'r4', * from ({FLOW_SQL.replace('from members', 'from members_r4')})"""))
+def r15_loaded(spark, d):
+    return rl.combine_reports(saved_reports(spark, d), "flow").select("report", "Stage", "Participants")
+
+
 @query("r15_combined_reports", oracle("""select report, "Stage", case when hidden then 'Suppressed' else cast(n as varchar) end as "Participants"
     from (select unnest(['first', 'second']) as report) cross join (
       select upper(stage[1]) || replace(stage[2:], '_', ' ') as "Stage", n from flow)
@@ -776,7 +830,7 @@ def r15(spark, d):
 @query("k3_report_snapshot", oracle(SCREENED, cells=ALL_CELLS))
 def k3(spark, d):
     report, path = report_of(spark, d), folder(spark)
-    store.save_snapshot(spark, path, report.screened, report.metadata)
-    tables, metadata = store.load_snapshot(spark, path)
-    assert metadata["study_id"] == STUDY.study_id
-    return tables["characteristics"].select("variable", "group", "n", "denominator", "missing", "suppressed")
+    save_report(spark, path, report)
+    loaded = load_report(spark, path)
+    assert loaded.metadata == json.loads(json.dumps(report.metadata)) and set(loaded.tables) == set(report.tables)
+    return loaded.screened["characteristics"].select("variable", "group", "n", "denominator", "missing", "suppressed")

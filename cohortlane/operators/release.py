@@ -6,6 +6,7 @@ Everything here works on screened report tables of at most a few hundred rows.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -15,6 +16,7 @@ from ..functions.scalars import (
     count_percent, fixed, fraction_percent, p_text, sentence_label, significant, title_label,
 )
 from ..session import local_rows
+from .provenance import methods_present
 from .screening import PENDING, SUPPRESSED
 
 ABSENT = "Not available"
@@ -214,11 +216,15 @@ def ordered_by(frame: DataFrame, column: str, order: tuple, position: str) -> Da
 
 @dataclass
 class Report:
-    """Screened tables of one study. ``tables`` are for display, ``screened`` keep numbers for revisions."""
+    """Screened tables of one study. ``tables`` are for display, ``screened`` keep numbers for revisions.
+
+    ``methods`` holds what the stages did and the review status, as rows of ``provenance.SCHEMA``.
+    """
 
     tables: dict[str, DataFrame]
     screened: dict[str, DataFrame] = field(default_factory=dict)
     metadata: dict = field(default_factory=dict)
+    methods: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -322,6 +328,15 @@ def _ordered_variables(source: DataFrame, order: tuple) -> DataFrame:
     return source.withColumn("position", rank)
 
 
+def combined_methods(reports: dict[str, Report]) -> DataFrame:
+    """What the stages of several studies did, under each other; a report without methods is an error."""
+    lacking = sorted(k for k, r in reports.items() if r.methods is None)
+    if lacking or not reports:
+        raise DataContractError(f"Reports without methods: {lacking}")
+    parts = [r.methods.select(F.lit(k).alias("report"), "*") for k, r in reports.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def combine_reports(reports: dict[str, Report], name: str) -> DataFrame:
     """One table of several studies under each other, never pooled; synthetic and real do not mix."""
     if not reports:
@@ -335,6 +350,7 @@ def combine_reports(reports: dict[str, Report], name: str) -> DataFrame:
     return result
 
 
+METHODS_SHEET = "Methods"
 LEDGER = (
     "report string, kind string, item string, detail string, sheet string, columns array<string>, "
     "status string, primary boolean"
@@ -362,6 +378,8 @@ def content_ledger(
         for fact in ("study_id", "protocol_version"):
             value = report.metadata.get(fact)
             add(one, key, "fact", F.lit(fact), F.lit(value), "", [])
+        if report.methods is not None:
+            add(methods_present(report.methods), key, "methods", F.col("item"), F.lit(None), METHODS_SHEET, [])
     for selection, table in prepared:
         visible = [c for c in table.columns if c not in IDENTITY]
         offered = offered_columns(visible)
@@ -442,11 +460,14 @@ def reconcile(ledger: DataFrame, spec: PublicationSpec) -> DataFrame:
         & F.col("detail").eqNullSafe(F.col("h_detail"))
     )
     whole_table = (F.col("kind") != "table") | (F.size(F.array_except("wanted", "columns")) == 0)
-    any_table = F.col("kind").isin("report", "methods") & (F.col("report") == F.col("h_report")) & (F.col("h_kind") == "table")
-    met = needed.join(have, (exact & whole_table) | any_table, "left")
+    same = F.col("report") == F.col("h_report")
+    any_table = (F.col("kind") == "report") & same & (F.col("h_kind") == "table")
+    any_methods = (F.col("kind") == "methods") & same & (F.col("h_kind") == "methods")
+    met = needed.join(have, (exact & whole_table) | any_table | any_methods, "left")
     grouped = met.groupBy("seq", "report", "kind", "content", "wanted").agg(
         F.array_sort(F.collect_set(F.when(F.col("sheet") != "", F.col("sheet")))).alias("sheets"),
         F.count("h_report").alias("found"),
+        F.collect_set("h_item").alias("items"),
         F.array_distinct(F.flatten(F.collect_list("columns"))).alias("columns"),
         F.collect_set("status").alias("statuses"),
         F.coalesce(F.bool_or("primary"), F.lit(False)).alias("primary"),
@@ -457,7 +478,9 @@ def reconcile(ledger: DataFrame, spec: PublicationSpec) -> DataFrame:
     grouped = grouped.withColumn("lacking", F.array_sort(F.array_except(wanted, F.col("columns"))))
     known = F.array(*[F.lit(s) for s in STATUS_TEXT])
     valid = F.size(F.array_except("statuses", known)) == 0
-    ok = (F.col("found") > 0) & (F.size("lacking") == 0) & valid
+    unstated = F.array_except(F.array(F.lit("methods"), F.lit("review")), F.col("items"))
+    stated = (F.col("kind") != "methods") | (F.size(unstated) == 0)
+    ok = (F.col("found") > 0) & (F.size("lacking") == 0) & valid & stated
     state = (
         F.when(~ok, "Missing")
         .when(F.array_contains("statuses", PENDING), "Included, suppressed")
@@ -467,9 +490,10 @@ def reconcile(ledger: DataFrame, spec: PublicationSpec) -> DataFrame:
     absent_report = Window.partitionBy("report")
     present = F.max(F.when((F.col("kind") == "report") & (F.col("found") > 0), 1).otherwise(0)).over(absent_report)
     details = (
-        F.when(F.col("kind") == "report", "No tables from the required report")
+        F.when(F.col("kind") == "report", "The selection shows no table of this report")
         .when(F.col("kind") == "fact", "The report belongs to another study or version")
         .when(~valid, "The analysis has no recognised status")
+        .when(~stated, F.concat(F.lit("The report does not state: "), F.array_join(unstated, ", ")))
         .when(F.size("lacking") > 0, F.concat(F.lit("Missing columns: "), F.array_join("lacking", ", ")))
         .otherwise("Accounted for")
     )
@@ -487,9 +511,7 @@ def reconcile(ledger: DataFrame, spec: PublicationSpec) -> DataFrame:
         .filter(listed)
         .select(
             "seq", F.col("report").alias("Report"), F.col("content").alias("Content"), "Status",
-            F.when(F.col("Status") == "Missing", "").otherwise(
-                F.when(F.col("kind") == "methods", "Methods").otherwise(F.array_join("sheets", ", "))
-            ).alias("Sheets"),
+            F.when(F.col("Status") == "Missing", "").otherwise(F.array_join("sheets", ", ")).alias("Sheets"),
             "Details",
         )
     )

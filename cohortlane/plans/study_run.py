@@ -12,6 +12,7 @@ from ..operators.cohorts import build_cohorts, cases_and_controls, flow_counts
 from ..operators.features import extract_features, resolve_study, unique_people
 from ..operators.matching import MatchLimits, MatchResult, match_groups
 from ..operators.models import fit_models
+from ..operators.provenance import method_rows, methods_frame
 from ..operators.release import (
     Report, publication_associations, publication_characteristics, publication_flow,
 )
@@ -22,7 +23,7 @@ from ..operators.screening import (
 from ..operators.summaries import characteristics, group_sizes
 from ..session import cut
 from ..sources.omop import OmopSource
-from ..sources.store import FrameStore, fingerprint, save_snapshot, write_csv, write_json_records
+from ..sources.store import FrameStore, fingerprint, load_snapshot, save_snapshot, write_csv, write_json_records
 
 # The association fields a saved report keeps; fit diagnostics stay private.
 REPORTED = (
@@ -33,9 +34,13 @@ REPORTED = (
 
 
 def build_report(
-    matched: MatchResult, results: DataFrame, flow: DataFrame, study: StudySpec, spec: ReportSpec | None = None
+    matched: MatchResult, results: DataFrame, flow: DataFrame, study: StudySpec, spec: ReportSpec | None = None,
+    trail: tuple = (),
 ) -> Report:
-    """Summaries, associations, flow and balance, screened before anything is formatted."""
+    """Summaries, associations, flow and balance, screened before anything is formatted.
+
+    ``trail`` are further (stage, item, value) rows of what a run did, added to what the definitions fix.
+    """
     content = spec or default_report_spec(study)
     labels = {**study.labels, **{k: i.label for k, i in content.characteristics.items() if i.label}}
     predictors = sorted({p for model in study.models for p in model.predictors})
@@ -61,9 +66,33 @@ def build_report(
             "clinical_cutoff": str(study.clinical_cutoff),
             "dataset": study.dataset,
         },
+        methods=methods_frame(people.sparkSession, [*method_rows(study, content), *trail]),
     )
 
 
+#: Prefix of the display tables in a saved report; screened tables keep their names.
+SHOWN = "shown_"
+
+
+def save_report(spark: SparkSession, directory: str, report: Report) -> str:
+    """Save every table of a report, its methods and review status in one snapshot."""
+    if report.methods is None:
+        raise DataContractError("A report is saved with its methods.")
+    tables = {**report.screened, **{SHOWN + name: t for name, t in report.tables.items()}, "methods": report.methods}
+    return save_snapshot(spark, directory, tables, report.metadata)
+
+
+def load_report(spark: SparkSession, directory: str) -> Report:
+    """The last saved report of a folder, as it was; an error if anything in it changed."""
+    tables, metadata = load_snapshot(spark, directory)
+    methods = tables.pop("methods", None)
+    if methods is None:
+        raise DataContractError("The saved report has no methods.")
+    shown = {name.removeprefix(SHOWN): t for name, t in tables.items() if name.startswith(SHOWN)}
+    screened = {name: t for name, t in tables.items() if not name.startswith(SHOWN)}
+    return Report(tables=shown, screened=screened, metadata=metadata, methods=methods)
+
+
 class StudyRun:
     """Runs the stages in order and keeps each stage's frame in a store under ``directory``."""
 
@@ -71,6 +100,7 @@ class StudyRun:
         self.spark, self.study, self.directory, self.synthetic = spark, study, directory, synthetic
         self.store = FrameStore(spark, f"{directory}/private")
         self.features = self.classified = self.matched = self.results = self.feature_hash = None
+        self.trail: list[tuple[str, str, str]] = []
         self._freeze()
 
     def _freeze(self) -> None:
@@ -89,15 +119,16 @@ class StudyRun:
             "vocabulary": {name: fingerprint(frame) for name, frame in resolved.items()},
         }
         kept = self.store.load("features", identity) if reuse else None
+        origin = "extracted" if kept is None else "stored by an earlier run of the same definitions"
         if kept is None:
             kept = self.store.save("features", extract_features(source, self.study, resolved), identity)
-        return self._take(unique_people(kept))
+        return self._take(unique_people(kept), origin)
 
     def use_features(self, features: DataFrame) -> DataFrame:
         """Start from a given feature frame instead of a source; only for synthetic runs."""
         if not self.synthetic:
             raise DataContractError("Only a synthetic run may be given its features.")
-        return self._take(unique_people(cut(features)))
+        return self._take(unique_people(cut(features)), "given to a synthetic run")
 
     def reuse_features(self, other: StudyRun) -> DataFrame:
         """Take another run's features if they were extracted by the same definitions and are unchanged."""
@@ -106,10 +137,11 @@ class StudyRun:
             raise DataContractError("Features are reused only between identical extractions.")
         if fingerprint(other.features) != other.feature_hash:
             raise DataContractError("The other run's features changed after extraction.")
-        return self._take(other.features)
+        return self._take(other.features, f"taken from version {other.study.version}")
 
-    def _take(self, features: DataFrame) -> DataFrame:
+    def _take(self, features: DataFrame, origin: str) -> DataFrame:
         self.features, self.feature_hash = features, fingerprint(features)
+        self.trail = [("features", "origin", origin), ("features", "content", self.feature_hash)]
         return features
 
     def build_groups(self) -> DataFrame:
@@ -139,9 +171,11 @@ class StudyRun:
     def report(self, spec: ReportSpec | None = None) -> Report:
         if self.results is None:
             raise DataContractError("Fit the models first.")
-        report = build_report(self.matched, self.results, flow_counts(self.classified), self.study, spec)
+        trail = [*self.trail, ("models", "fitted to members", fingerprint(self.matched.members))]
+        report = build_report(
+            self.matched, self.results, flow_counts(self.classified), self.study, spec, tuple(trail))
         report.metadata["synthetic"] = self.synthetic
-        save_snapshot(self.spark, f"{self.directory}/review/snapshot", report.screened, report.metadata)
+        save_report(self.spark, f"{self.directory}/review/snapshot", report)
         for name, table in report.tables.items():
             write_csv(table, f"{self.directory}/review/{name}")
         return report

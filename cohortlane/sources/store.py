@@ -96,31 +96,47 @@ def write_json_records(table: DataFrame, path: str) -> None:
     table.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-SNAPSHOT_VERSION = 1
+SNAPSHOT_VERSION = 2
+MANIFEST = "payload string, checksum string, saved_at string"
 
 
-def save_snapshot(spark: SparkSession, directory: str, tables: dict[str, DataFrame], metadata: dict) -> None:
-    """Save screened tables and metadata with a checksum over all of them."""
-    checks = {}
+def save_snapshot(spark: SparkSession, directory: str, tables: dict[str, DataFrame], metadata: dict) -> str:
+    """Save screened tables and metadata; returns the folder of this save.
+
+    Tables go into a new folder, then one manifest row is appended with their content hashes and a checksum over
+    everything. Readers go by the manifest alone, so a save that was interrupted leaves the one before it.
+    """
+    location, checks = f"{directory}/{uuid.uuid4().hex}", {}
     for name, table in tables.items():
-        table.coalesce(1).write.mode("overwrite").parquet(f"{directory}/{name}")
-        checks[name] = fingerprint(spark.read.parquet(f"{directory}/{name}"))
-    payload = {"schema_version": SNAPSHOT_VERSION, "tables": checks, "metadata": metadata}
+        if not NAME.match(name):
+            raise DataContractError(f"Not a valid table name: {name!r}")
+        table.coalesce(1).write.parquet(f"{location}/{name}")
+        checks[name] = fingerprint(spark.read.schema(table.schema).parquet(f"{location}/{name}"))
+    payload = {"schema_version": SNAPSHOT_VERSION, "location": location, "tables": checks, "metadata": metadata}
     text = json.dumps(payload, sort_keys=True, default=str)
-    row = [(text, config_digest(json.loads(text)))]
-    spark.createDataFrame(row, "payload string, checksum string").coalesce(1).write.mode("overwrite").json(
-        f"{directory}/snapshot"
-    )
+    row = [(text, config_digest(json.loads(text)), datetime.now(timezone.utc).isoformat())]
+    spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(f"{directory}/manifest")
+    return location
 
 
 def load_snapshot(spark: SparkSession, directory: str) -> tuple[dict[str, DataFrame], dict]:
-    row = spark.read.schema("payload string, checksum string").json(f"{directory}/snapshot").first()
+    """Tables and metadata of the last finished save, each checked against the manifest."""
+    try:
+        listed = spark.read.schema(MANIFEST).json(f"{directory}/manifest")
+        row = listed.orderBy(F.col("saved_at").desc()).first()
+    except AnalysisException:
+        row = None
+    if row is None:
+        raise DataContractError("No finished report is saved here.")
     payload = json.loads(row["payload"])
     if config_digest(payload) != row["checksum"] or payload["schema_version"] != SNAPSHOT_VERSION:
         raise DataContractError("The saved report has another version or was changed.")
     tables = {}
     for name, check in payload["tables"].items():
-        table = spark.read.parquet(f"{directory}/{name}")
+        try:
+            table = spark.read.parquet(f"{payload['location']}/{name}")
+        except AnalysisException as problem:
+            raise DataContractError(f"The saved table {name} is gone.") from problem
         if fingerprint(table) != check:
             raise DataContractError(f"The saved table {name} was changed.")
         tables[name] = table
