@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Window, functions as F
 
@@ -504,6 +505,34 @@ def a8(spark, d):
         [tuple(row[n] for n in names)], "status string, odds_ratio double, ci_lower double, ci_upper double, p_value double")
 
 
+# With one binary column the penalised likelihood is a binomial one with half a person added to each count, and the
+# best intercept at a given coefficient v solves a quadratic equation in exp(intercept). Both ends by bisection.
+PROFILE_SQL = {
+    "halves": """select a + 0.5 as a, b + 0.5 as b, c + 0.5 as c, e + 0.5 as e, ln((a + 0.5) * (e + 0.5) / ((b + 0.5) * (c + 0.5))) as centre
+      from (select count(*) filter (is_case = 1 and exposed = 1) as a, count(*) filter (is_case = 1 and exposed = 0) as b,
+        count(*) filter (is_case = 0 and exposed = 1) as c, count(*) filter (is_case = 0 and exposed = 0) as e from members)""",
+    "bisected": """select -1 as side, 0 as step, cast(0 as double) as inside, cast(20 as double) as outside
+      union all select 1, 0, 0, 20
+      union all select side, step + 1, case when drop < 3.841458820694124 then (inside + outside) / 2 else inside end,
+        case when drop < 3.841458820694124 then outside else (inside + outside) / 2 end
+      from (select side, step, inside, outside,
+          2 * (a * ln(a / (a + c)) + c * ln(c / (a + c)) + b * ln(b / (b + e)) + e * ln(e / (b + e))
+            - (a * ln(r * t / (1 + r * t)) - c * ln(1 + r * t) + b * ln(t / (1 + t)) - e * ln(1 + t))) as drop
+        from (select *, (-m + sqrt(m * m + 4 * k * (a + b))) / (2 * k) as t
+          from (select *, (c + e) * r as k, (a + c) * r + (b + e) - (a + b) * (1 + r) as m
+            from (select *, exp(centre + side * (inside + outside) / 2) as r from bisected cross join halves where step < 60))))""",
+}
+
+
+@query("a8_profile_of_one_column", oracle(f"""select {rd('centre')} as coefficient, {rd('max(case when side = -1 then centre - inside end)')} as low,
+    {rd('max(case when side = 1 then centre + inside end)')} as high from bisected cross join halves where step = 60 group by centre""", **PROFILE_SQL))
+def a8_one(spark, d):
+    row = md.fit_model(members_of(spark, d), FIRTH, "exposed")
+    return spark.createDataFrame(
+        [(row["coefficient"], math.log(row["ci_lower"]), math.log(row["ci_upper"]))],
+        "coefficient double, low double, high double")
+
+
 @query("a9_w5_holm", oracle(f"""select model, predictor, family, "primary", {rd('p_value')} as p_value,
       {rd('''case when "primary" and p_value is not null then least(1, max(step) over (partition by family, "primary" order by p, model, predictor)) end''')} as p_holm,
       case when "primary" then m end as family_size from (

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import MatchSpec
+from ..session import cut
 
 SCHEMA = (
     "variable string, type string, diff_before double, v_ratio_before double, diff_after double, "
@@ -113,7 +114,8 @@ def factor_balance(frame: DataFrame, names: list[str]) -> DataFrame:
 
 
 def balance_table(pool: DataFrame, members: DataFrame, spec: MatchSpec) -> DataFrame:
-    frame = weighted_pool(pool, members, spec)
+    """Rows of ``SCHEMA``. The weighted pool is joined once and written; each part then scans only its columns."""
+    frame = cut(weighted_pool(pool, members, spec))
     factors = [n for n in spec.columns() if n in (*spec.exact, *spec.categorical)]
     numeric = [n for n in spec.columns() if n not in factors]
     parts = []

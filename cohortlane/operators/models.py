@@ -228,8 +228,7 @@ def firth_result(sets: DataFrame, names: list[str], predictor: str, iterations:
     try:
         spread = np.sqrt(np.linalg.inv(best.information)[at, at])
         null = est.fit_firth(sums, p, iterations, fixed=(at, 0.0), start=best.beta)
-        low = est.profile_bound(sums, best, at, -1, 2 * spread, iterations)
-        high = est.profile_bound(sums, best, at, 1, 2 * spread, iterations)
+        low, high = est.profile_interval(sums, best, at, 2 * spread, iterations)
     except np.linalg.LinAlgError:
         return {**result, "reason": "firth_interval_or_fit_failed"}
     except est.NotConverged:

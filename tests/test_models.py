@@ -169,15 +169,73 @@ def test_covariates_of_many_levels_end_in_a_reason(spark):
     assert row["status"] == "non_estimable" and row["reason"] == "rank_deficient_conditional_design"
 
 
+def test_both_profile_bounds_take_few_passes(spark, monkeypatch):
+    """Saturated table: the ends against a plain search over the closed profile, on the driver and in tasks."""
+    a, b, c, e = 30, 21, 40, 66
+    sets = [(y, [x]) for y, x, n in ((1.0, 1.0, a), (1.0, 0.0, b), (0.0, 1.0, c), (0.0, 0.0, e)) for _ in range(n)]
+    rows = spark.createDataFrame(pd.DataFrame({"y": [y for y, _ in sets], "x": [[1.0, *x] for _, x in sets]}))
+
+    def drop(v):
+        counts = np.array([a, c, b, e]) + 0.5
+
+        def value(t, r):
+            p1, p0 = r * t / (1 + r * t), t / (1 + t)
+            return counts @ np.log([p1, 1 - p1, p0, 1 - p0])
+
+        k = (c + e + 1) * np.exp(v)
+        m = (a + c + 1) * np.exp(v) + (b + e + 1) - (a + b + 1) * (1 + np.exp(v))
+        t = (-m + np.sqrt(m * m + 4 * k * (a + b + 1))) / (2 * k)
+        return value(t, np.exp(v))
+
+    top = np.log((a + 0.5) * (e + 0.5) / ((b + 0.5) * (c + 0.5)))
+    expected = []
+    for side in (-1, 1):
+        inner, outer = 0.0, 9.0
+        for _ in range(80):
+            middle = (inner + outer) / 2
+            inside = 2 * (drop(top) - drop(top + side * middle)) < est.CHI2_95
+            inner, outer = (middle, outer) if inside else (inner, middle)
+        expected.append(top + side * inner)
+    for limit in (50_000, 0):
+        sums = est.PatternSums(est.row_patterns(rows), est.row_arrays, limit=limit)
+        assert (sums.local is None) == (limit == 0)
+        best = est.fit_firth(sums, 2, 50)
+        passes, plain = [], est.PatternSums.__call__
+        monkeypatch.setattr(est.PatternSums, "__call__", lambda self, *g: passes.append(1) or plain(self, *g))
+        spread = np.sqrt(np.linalg.inv(best.information)[1, 1])
+        found = est.profile_interval(sums, best, 1, 2 * spread, 50)
+        monkeypatch.undo()
+        assert found == pytest.approx(expected, abs=1e-8)
+        assert len(passes) <= 50
+
+
+def test_a_profile_that_never_drops_is_infinite(spark):
+    """The search alone, over a made profile: a step at -3 on one side, flat on the other."""
+    flat = est.Fit(np.zeros(2), 0.0, np.zeros(2), np.eye(2), True, 1)
+    original = est.fit_profiles
+    try:
+        est.fit_profiles = lambda sums, p, iterations, index, values, starts: [
+            est.Fit(np.array([0.0, v]), -2.0 if v < 0 and v < -3 else -1e-9, np.zeros(1), np.eye(1), True, 1) for v in values]
+        low, high = est.profile_interval(None, flat, 1, 1.0, 10)
+    finally:
+        est.fit_profiles = original
+    assert high == np.inf and low == pytest.approx(-3.0, abs=1e-6)
+
+
 @pytest.mark.parametrize("spoiled", ["estimate", "profile"])
 def test_firth_fits_that_stop_early_are_marked(spark, monkeypatch, spoiled):
     sets = [(1.0, [0.0])] * 12 + [(0.0, [1.0])] * 5 + [(1.0, [1.0])] * 4
     members = sets_frame(spark, sets, lambda n: float(n % 4))
-    plain = est.fit_firth
+    plain, profiles = est.fit_firth, est.fit_profiles
+
+    def stopping_profiles(*arguments):
+        return [est.Fit(f.beta, f.value, f.score, f.information, spoiled != "profile", f.iterations) for f in profiles(*arguments)]
+
+    monkeypatch.setattr(est, "fit_profiles", stopping_profiles)
 
     def stopping(sums, p, iterations, fixed=None, start=None):
         fit = plain(sums, p, iterations, fixed=fixed, start=start)
-        early = fixed is None if spoiled == "estimate" else fixed is not None and fixed[1] != 0.0
+        early = fixed is None and spoiled == "estimate"
         return est.Fit(fit.beta, fit.value, fit.score, fit.information, fit.converged and not early, fit.iterations)
 
     monkeypatch.setattr(est, "fit_firth", stopping)
