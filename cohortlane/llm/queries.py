@@ -61,10 +61,10 @@ def op1(spark, sf_dir):
         "doc.doc_id", "doc.source", "doc.n_tokens", "epoch", "block", "block_key", "doc_key")
 
 
-@query("op2_whole_vocabulary", language_model.WHOLE_ORACLE)
-@query("op2_stupid_backoff", language_model.WHOLE_ORACLE)
+@query("op2_whole_vocabulary", language_model.ORACLE)
+@query("op2_stupid_backoff", language_model.ORACLE)
 def op2(spark, sf_dir):
-    return language_model.whole_backoff_scores(table(spark, sf_dir, "documents"))
+    return language_model.backoff_scores(table(spark, sf_dir, "documents"))
 
 
 @query("op4_jaccard_join")

@@ -308,37 +308,42 @@ def test_mixing_takes_awkward_rows(docs, no_docs, rows):
     assert nothing.count() == docs.filter("text is null").count()
 
 
-def test_backoff_scores_match_plain_python(docs, rows, no_docs, monkeypatch):
-    monkeypatch.setattr(lm, "RARE", 0.002)
+@pytest.mark.parametrize("order, size, part", [(1, 1 << 22, 1 << 24), (2, 1 << 22, 1 << 24), (2, 500, 1000), (3, 2000, 700), (5, 20, 30_000)])
+def test_backoff_scores_match_plain_python(docs, rows, no_docs, monkeypatch, order, size, part):
+    """Every order; one slice and one partition as well as many small ones, with ids that are larger than a slice."""
+    monkeypatch.setattr(lm, "SLICE_BYTES", size)
+    monkeypatch.setattr(lm, "PART_BYTES", part)
     texts = defaultdict(list)
     for r in rows:
         if r[0] is not None:
-            texts[r[0]].append(words((r[1] or "").translate(ASCII)))
-    total = sum(len(t) for ts in texts.values() for t in ts)
-    often = Counter(w for ts in texts.values() for t in ts for w in t)
-    name = lambda w: w if often[w] >= 0.002 * total else None
-    grams = {d: [("<", name(t[0])) for t in ts if t] + [(name(a), name(b)) for t in ts for a, b in zip(t, t[1:])]
-             for d, ts in texts.items()}
-    pairs, holders = Counter(g for x in grams.values() for g in x), defaultdict(set)
-    for d, x in grams.items():
-        for g in x:
-            holders[g].add(d)
-    word = Counter(name(w) for ts in texts.values() for t in ts for w in t)
-    word["<"] = sum(any(ts) for ts in texts.values())
-    expected = {}
-    for d, x in grams.items():
-        parts = [math.log(pairs[g] / word[g[0]]) if len(holders[g]) > 1 else math.log(0.4 * word[g[1]] / total) for g in x]
-        expected[d] = (len(x), round(sum(parts) / len(x), 6) if x else None)
-    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm.backoff_scores(docs).collect()}
-    assert found.keys() == expected.keys()
-    for d, (n, score) in expected.items():
-        assert found[d][0] == n and found[d][1] == (score if score is None else pytest.approx(score, abs=2e-6))
-    assert lm.backoff_scores(no_docs).count() == 0
-
-
-def test_whole_vocabulary_keeps_every_word(spark, docs, rows, no_docs, monkeypatch):
-    """Without a cut rare words are no common unknown word; against plain Python."""
-    monkeypatch.setattr(lm, "RARE", 0.002)
+            texts[r[0]].append(["<", *map(str.encode, words((r[1] or "").translate(ASCII)))])
+    total = sum(len(t) - 1 for ts in texts.values() for t in ts)
+    counts, holders = Counter(), defaultdict(set)
+    for d, ts in texts.items():
+        for t in ts:
+            for end in range(2, len(t) + 1):
+                for k in range(1, min(order, end) + 1):
+                    counts[tuple(t[end - k : end])] += 1
+                    holders[tuple(t[end - k : end])].add(d)
+    counts[("<",)] = sum(any(len(t) > 1 for t in ts) for ts in texts.values())
+
+    def part(t, end):
+        for k in range(min(order, end), 1, -1):
+            gram = tuple(t[end - k : end])
+            if len(holders[gram]) > 1:
+                return math.log(counts[gram] / counts[gram[:-1]]) + (order - k) * math.log(0.4)
+        return math.log(counts[(t[end - 1],)] / total) + (order - 1) * math.log(0.4)
+
+    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm.backoff_scores(docs, order).collect()}
+    assert found.keys() == texts.keys()
+    for d, ts in texts.items():
+        parts = [part(t, end) for t in ts for end in range(2, len(t) + 1)]
+        assert found[d] == (len(parts), pytest.approx(sum(parts) / len(parts), abs=2e-6) if parts else None)
+    assert lm.backoff_scores(no_docs, order).count() == 0
+
+
+def test_whole_vocabulary_keeps_every_word(spark, docs, rows, no_docs):
+    """Rare words are no common unknown word; against plain Python."""
     extra = [(500 + i, f"rare{i} other{i} the the", "en", "a", 1, 7, "x") for i in range(5)]
     texts = defaultdict(list)
     for r in [*rows, *extra]:
@@ -353,10 +358,9 @@ def test_whole_vocabulary_keeps_every_word(spark, docs, rows, no_docs, monkeypat
     total = sum(word.values())
     word["<"] = sum(any(ts) for ts in texts.values())
     frame = docs.union(spark.createDataFrame(extra, docs.schema))
-    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm.whole_backoff_scores(frame).collect()}
+    found = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm.backoff_scores(frame).collect()}
     assert found.keys() == grams.keys()
     for d, x in grams.items():
         parts = [math.log(pairs[g] / word[g[0]]) if len(holders[g]) > 1 else math.log(0.4 * word[g[1]] / total) for g in x]
         assert found[d] == (len(x), pytest.approx(sum(parts) / len(x), abs=2e-6) if x else None)
-    assert lm.whole_backoff_scores(no_docs).count() == 0
-    assert {r["score"] for r in lm.backoff_scores(frame).collect()} != {score for _, score in found.values()}
+    assert lm.backoff_scores(no_docs).count() == 0
