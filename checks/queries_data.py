@@ -9,6 +9,7 @@ from pyspark.sql import Window, functions as F
 
 from cohortlane import ConceptSet, Predicate, StudySpec
 from cohortlane.config import sensitivity_spec
+from cohortlane.errors import DataContractError
 from cohortlane.functions import scalars as sc
 from cohortlane.functions.predicates import predicate_mask
 from cohortlane.operators import cohorts, features as ft, vocabulary as vo
@@ -298,6 +299,35 @@ masks("p10_missing_literal", {
 }, {"a": "false", "b": "quantity is not null", "c": "quantity is not null", "e": "false"})
 
 
+#: Rules over the features; those after the first two name a column that the features lack, alone or deep inside.
+COMPILED = {
+    "known": leaf("age", "ge", 40),
+    "known_inside": {"any_of": [leaf("disease", value=1), {"negate": leaf("s1", value="yes")}]},
+    "alone": leaf("weight", "ge", 40),
+    "missing": {"field": "weight", "op": "is_missing"},
+    "inside": {"all_of": [leaf("age", "ge", 40), {"any_of": [leaf("disease", value=1), {"negate": leaf("height", value=1)}]}]},
+    "other_case": leaf("Age_", "lt", 40),
+}
+
+
+@query("p9_unknown_fields", oracle("""select 'known' as rule, count(*) filter (age >= 40) as selected, cast(null as varchar) as error from features
+    union all select 'known_inside', count(*) filter (disease = 1 or not (s1 = 'yes')), null from features
+    union all select rule, null, 'A predicate names an unknown column: ' || field
+      from (values ('alone', 'weight'), ('missing', 'weight'), ('inside', 'height'), ('other_case', 'Age_')) as t(rule, field)"""))
+def p9(spark, d):
+    """Rules with unknown columns are refused when they are compiled, before any row is read; the others select."""
+    frame = features_of(spark, d)
+    selected, refused = [], []
+    for name, rule in COMPILED.items():
+        try:
+            selected.append(F.count_if(predicate_mask(frame, Predicate.from_dict(rule))).alias(name))
+        except DataContractError as error:
+            refused.append((name, None, str(error)))
+    counted = frame.agg(*selected)
+    counted = counted.unpivot([], counted.columns, "rule", "selected").withColumn("error", F.lit(None).cast("string"))
+    return counted.union(local_rows(spark, refused, "rule string, selected long, error string"))
+
+
 @query("p11_date_windows", oracle(f"""select count(*) filter (condition_start_date <= {CUTOFF}) as until,
       count(*) filter (condition_start_date <= {CUTOFF} and condition_start_date >= {CUTOFF} - 365) as lookback,
       count(*) filter (condition_start_date between {CUTOFF} - 30 and {CUTOFF}) as month from condition_occurrence"""))
