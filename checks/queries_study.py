@@ -675,7 +675,8 @@ def r6(spark, d):
 SAMPLE_SQL = """select count(*) filter (is_case = 1) as cases, count(*) filter (is_case = 0) as controls,
     count(*) filter (is_case = 1 and exposed = 1) as a, count(*) filter (is_case = 1 and exposed = 0) as b,
     count(*) filter (is_case = 0 and exposed = 1) as c, count(*) filter (is_case = 0 and exposed = 0) as e,
-    (select count(*) from (select 1 from members group by match_set_id having min(exposed) < max(exposed))) as discordant from members"""
+    (select count(*) from (select 1 from members group by match_set_id having min(exposed) < max(exposed))) as discordant,
+    count(distinct match_set_id) as sets from members"""
 UNSAFE = "(least(a, b, c, e) between 1 and 20 or a between 1 and 20 or b between 1 and 20 or c between 1 and 20 or e between 1 and 20 or cases between 1 and 20 or controls between 1 and 20 or discordant between 1 and 20)"
 
 
@@ -753,7 +754,11 @@ def r11(spark, d):
         "variable", "Characteristic", "Cases", "Controls")
 
 
-@query("r12_associations_table", oracle(f"""select case model when 'primary' then 'Primary' else 'Sensitivity' end as "Model", 'Recorded exposure' as "Condition",
+@query("r12_associations_table", oracle(f"""select model as model_id, 'exposed' as predictor_id,
+    case when {UNSAFE} then 'suppressed_pending_disclosure_review' else 'estimated' end as status_id,
+    case when not {UNSAFE} then sets end as "Matched sets",
+    {shown("c || '/' || controls || ' (' || printf('%.1f', 100.0 * c / controls) || '%)'", UNSAFE)} as "Condition in sampled controls",
+    case model when 'primary' then 'Primary' else 'Sensitivity' end as "Model", 'Recorded exposure' as "Condition",
     case when {UNSAFE} then 'Suppressed' else 'Estimated' end as "Status",
     case when not {UNSAFE} then cases end as "Cases", case when not {UNSAFE} then controls end as "Controls",
     {shown("a || '/' || cases || ' (' || printf('%.1f', 100.0 * a / cases) || '%)'", UNSAFE)} as "Condition in sampled cases"
@@ -761,7 +766,8 @@ def r11(spark, d):
 def r12(spark, d):
     screened = sr.screened_associations(results_of(spark, d), members_of(spark, d), ["exposed"])
     return rl.publication_associations(screened, STUDY.labels).select(
-        "Model", "Condition", "Status", "Cases", "Controls", "Condition in sampled cases")
+        "model_id", "predictor_id", "status_id", "Model", "Condition", "Status", "Cases", "Controls", "Matched sets",
+        "Condition in sampled cases", "Condition in sampled controls")
 
 
 @query("r13_selected_table", oracle(f"""select 'Primary' as "Model", 'Recorded exposure' as "Condition",
