@@ -42,7 +42,9 @@ class MatchLimits:
 
     stratum_rows: int = 200_000
     stratum_pairs: int = 20_000_000
+    #: Agents of a stratum's first round; rounds that go well take four times as many, up to ``chunk_most``.
     chunk: int = 200_000
+    chunk_most: int = 200_000
     #: Cells that a block of the grid holds if they are spread evenly.
     window: int = 32
 
@@ -527,8 +529,11 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
 
     Agents are (slot, case) in priority order. A round serves the next chunk of every stratum: its task gets
     the chunk's agents, the cells they can reach, and from each cell the next free ids. Serving stops before
-    an agent whose nearest control may lie outside what was fetched; the next round starts there.
+    an agent whose nearest control may lie outside what was fetched; the next round starts there. Each stratum's
+    chunk grows from ``limits.chunk`` to ``limits.chunk_most`` while its rounds serve at least half of what they
+    take, so a small first chunk costs a few rounds, not as many as it fits into the agents.
     """
+    most = max(limits.chunk, limits.chunk_most)
     ratio, shape = spec.ratio, _plain(space)
     spark = core.sparkSession
     cases = numbered(core.filter("is_case = 1"), ["stratum"], [F.col("person_id").asc()], "seat")
@@ -540,7 +545,8 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
     )
     state = cut(
         cases.groupBy("stratum").agg(F.count("*").alias("n")).select(
-            "stratum", "n", F.lit(0).cast("long").alias("cursor"), F.lit(1).cast("long").alias("growth")
+            "stratum", "n", F.lit(0).cast("long").alias("cursor"), F.lit(1).cast("long").alias("growth"),
+            F.lit(limits.chunk).cast("long").alias("chunk"),
         )
     )
     edges, rounds = None, 0
@@ -551,14 +557,15 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
             cases.join(open_strata, "stratum")
             .select("*", slots.alias("slot"))
             .withColumn("turn", (F.col("slot") - 1) * F.col("n") + F.col("seat") - 1)
-            .filter(F.col("turn").between(F.col("cursor"), F.col("cursor") + limits.chunk - 1))
+            .filter(F.col("turn").between(F.col("cursor"), F.col("cursor") + F.col("chunk") - 1))
         )
-        kinds = cut(agents.groupBy("stratum", "values").agg(F.count("*").alias("wanting"), F.first("growth").alias("growth")))
+        kinds = cut(agents.groupBy("stratum", "values").agg(
+            F.count("*").alias("wanting"), F.first("growth").alias("growth"), F.first("chunk").alias("chunk")))
         if kinds.limit(1).count() == 0:
             return edges
         free = cut(cells.filter("supply > taken").join(broadcast_if_small(kinds.select("stratum").distinct()), "stratum"))
         reached, radii = _cells_in_reach(kinds, free, shape, limits)
-        chosen = _slices(reached, kinds, free, controls, limits)
+        chosen = _slices(reached, kinds, free, controls)
         agent_rows = agents.join(broadcast_if_small(radii), ["stratum", "values"]).select(
             "stratum", "turn", "case_id", "slot", "values", "radius"
         )
@@ -603,14 +610,13 @@ def greedy_large_strata(core: DataFrame, spec: MatchSpec, space: Geometry, limit
                 "stratum", "values", "supply", (F.col("taken") + F.coalesce("more", F.lit(0))).alias("taken")
             )
         )
+        poor = 2 * F.col("served") < F.least(F.col("chunk"), F.col("n") * ratio - F.col("cursor"))
         state = cut(
             state.join(progress, "stratum", "left").select(
                 "stratum", "n", (F.col("cursor") + F.coalesce("served", F.lit(0))).alias("cursor"),
                 # Too little was fetched when few could be served: fetch more next time, until a round goes well.
-                F.when(F.col("served") == 0, F.col("growth") * 4)
-                .when(2 * F.col("served") < F.least(F.lit(limits.chunk), F.col("n") * ratio - F.col("cursor")),
-                      F.col("growth") * 2)
-                .otherwise(1).alias("growth"),
+                F.when(F.col("served") == 0, F.col("growth") * 4).when(poor, F.col("growth") * 2).otherwise(1).alias("growth"),
+                F.when(poor, F.col("chunk")).otherwise(F.least(F.col("chunk") * 4, F.lit(most))).alias("chunk"),
             )
         )
         rounds += 1
@@ -647,23 +653,23 @@ def _cells_in_reach(kinds: DataFrame, free: DataFrame, space: Geometry, limits:
     return everything.unionByName(near), infinite.unionByName(placed.select("stratum", "values", "radius"))
 
 
-def _slices(reached: DataFrame, kinds: DataFrame, free: DataFrame, controls: DataFrame, limits: MatchLimits):
+def _slices(reached: DataFrame, kinds: DataFrame, free: DataFrame, controls: DataFrame):
     """(stratum, values, ids, truncated): the next free ids of each reached cell.
 
     A cell offers twice what its own value's agents want plus an even share of the chunk, times the growth of
     its stratum, which doubles while rounds end early because a cell ran dry. Cells that no case stands on
     grow as well, so the rounds for one far cell are logarithmic in what is wanted of it.
     """
-    growth = kinds.groupBy("stratum").agg(F.max("growth").alias("pace"))
+    growth = kinds.groupBy("stratum").agg(F.max("growth").alias("pace"), F.max("chunk").alias("chunk"))
     counted = reached.groupBy("stratum").agg(F.count("*").alias("reached")).join(growth, "stratum")
     offer = (
         free.join(broadcast_if_small(reached), ["stratum", "values"], "left_semi")
         .join(broadcast_if_small(counted), "stratum")
-        .join(broadcast_if_small(kinds), ["stratum", "values"], "left")
+        .join(broadcast_if_small(kinds.select("stratum", "values", "wanting")), ["stratum", "values"], "left")
     )
-    even = F.ceil(F.lit(4 * limits.chunk) / F.col("reached"))
+    even = F.ceil(4 * F.col("chunk") / F.col("reached"))
     length = F.least(
-        F.col("supply") - F.col("taken"), F.lit(limits.chunk),
+        F.col("supply") - F.col("taken"), F.col("chunk"),
         (F.coalesce("wanting", F.lit(0)) * 2 + even + 16) * F.col("pace"),
     )
     offer = cut(

@@ -183,6 +183,20 @@ def test_one_far_cell_takes_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 6
 
 
+def test_a_small_first_chunk_costs_few_rounds(spark, monkeypatch):
+    """600 agents from chunks of 20 on: rounds that go well take more, and every pair stays that of single service."""
+    import cohortlane.operators.matching as matching
+
+    rounds = []
+    plain = matching._slices
+    monkeypatch.setattr(matching, "_slices", lambda *a: rounds.append(1) or plain(*a))
+    people = spark.createDataFrame(people_frame(5, 1200))
+    spec = MatchSpec(distance=["age"], calipers={"age": 3}, ratio=2)
+    limits = MatchLimits(stratum_rows=1, stratum_pairs=10**9, chunk=20)
+    assert edges_of(people, spec, limits) == edges_of(people, spec, SMALL)
+    assert len(rounds) <= 8
+
+
 def test_factors_of_many_levels_are_measured_whole(spark):
     """The pooled covariance of a factor with over a thousand levels, against numpy."""
     from cohortlane.operators.matching import distance_columns, pooled_covariance
