@@ -10,8 +10,9 @@ least ``need(a, b)`` shingles.
   prefix filter). The order of shingles is by hash, with those listed more than once last; any order is right, this one
   keeps the lists short. In each of ``ROUNDS`` rounds every document is compared with one pivot at most: of the central
   members of its lists, the most central one that it has not met and that is in another component. So a large group of
-  near copies costs a star, not all pairs. Then, list by list, members of different components are compared if they
-  share as many listed shingles as linked sets must, so no link between components is lost.
+  near copies costs a star, not all pairs. Then all documents that list a shingle of another component are compared by
+  the shingles that several components hold, under a positional filter, so no link between components is lost; members
+  of a list are never paired without that filter.
 * The boundary has the least estimated cost: subsets enumerated against entries and list members met.
 
 Documents without words have an empty set and stand alone. Null texts count as empty. Rows without id are returned with
@@ -224,15 +225,7 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     placed = entries.select("key", "doc_id", "n").join(cut(named), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     placed = placed.withColumn("least", F.min("component").over(one)).withColumn("most", F.max("component").over(one))
-    placed = cut(placed.filter("least < most").select("key", "doc_id", "n", "component"))
-    a, b = placed.alias("a"), placed.alias("b")
-    n_a, n_b = F.col("a.n"), F.col("b.n")
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id"))
-                   & (F.col("a.component") != F.col("b.component")) & alike(n_a, n_b) & (F.greatest(n_a, n_b) > boundary))
-    counted = pairs.groupBy(F.col("a.doc_id").alias("a"), n_a.alias("n_a"), F.col("b.doc_id").alias("b"), n_b.alias("n_b")).count()
-    enough = counted.filter(F.col("count") >= least_shared(F.col("n_a"), F.col("n_b")))
-    ends = enough.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    open_ = cut(placed.select("doc_id", "component").distinct().join(cut(ends), "doc_id"))
+    open_ = cut(placed.filter("least < most").select("doc_id", "component").distinct())
     return edges.union(between_components(docs, open_, boundary)).union(copies)
 
 

@@ -364,3 +364,18 @@ def test_whole_vocabulary_keeps_every_word(spark, docs, rows, no_docs):
         parts = [math.log(pairs[g] / word[g[0]]) if len(holders[g]) > 1 else math.log(0.4 * word[g[1]] / total) for g in x]
         assert found[d] == (len(x), pytest.approx(sum(parts) / len(x), abs=2e-6) if x else None)
     assert lm.backoff_scores(no_docs).count() == 0
+
+
+def test_members_of_a_list_meet_under_the_positional_filter_alone(spark, monkeypatch):
+    """Texts that share a passage but no link: their components are never paired by a listed shingle alone."""
+    plans = []
+    plain = jj.cut
+    monkeypatch.setattr(jj, "cut", lambda f: plans.append(f._jdf.queryExecution().optimizedPlan().toString()) or plain(f))
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"w{n}x{i}" for i in range(20)]) for n in range(30)]
+    near = " ".join(texts[0].split()[:-2])
+    rows = list(enumerate([*texts, near]))
+    found = jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {**{i: i for i in range(30)}, 30: 0}
+    across = [x for plan in plans for x in plan.split("\n") if "Join Inner" in x and re.search(r"NOT \(component#\d+L? = ", x)]
+    assert across and all("rest#" in x for x in across)
