@@ -256,7 +256,10 @@ def between_components(docs: DataFrame, open_: DataFrame, boundary: int) -> Data
                    & (F.col("a.component") != F.col("b.component")) & (F.greatest(n_a, n_b) > boundary)
                    & (F.least("a.rest", "b.rest") >= need(n_a, n_b)))
     pairs = cut(pairs.select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct())
-    return linked(pairs, sets.select(F.col("row").alias("node"), "doc_id", "elements"))
+    # few documents are in a pair; the sets of the others are not shuffled
+    ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    ends = F.broadcast(ends) if ends.count() <= BROADCAST_IDS else ends
+    return linked(pairs, sets.join(ends, "row", "left_semi").select(F.col("row").alias("node"), "doc_id", "elements"))
 
 
 def least_shared(n_a: Column, n_b: Column) -> Column:
