@@ -6,13 +6,14 @@ least ``need(a, b)`` shingles.
 
 * Small sets (size up to a boundary): for every size a partner may have, all subsets of the needed size are enumerated.
   Whoever shares such a subset with the smallest set of its bucket is linked to it, so a bucket gives a star of links.
-* Large sets: each is listed under the first shingles of its set, as many as make sure that linked sets share one (the
-  prefix filter). The order of shingles is by hash, with those listed more than once last; any order is right, this one
-  keeps the lists short. In each of ``ROUNDS`` rounds every document is compared with one pivot at most: of the central
+* Large sets: each is listed under the first shingles of its set, as many as make sure that linked sets share more than a
+  twentieth of either (the prefix filter, lengthened). The order of shingles is by hash, with those listed more than once
+  last; any order is right, this one keeps the lists short. In each of ``ROUNDS`` rounds every document is compared with one pivot at most: of the central
   members of its lists, the most central one that it has not met and that is in another component. So a large group of
-  near copies costs a star, not all pairs. Then all documents that list a shingle of another component are compared by
-  the shingles that several components hold, under a positional filter, so no link between components is lost; members
-  of a list are never paired without that filter.
+  near copies costs a star, not all pairs. Then all documents that share as many listed shingles with other components as
+  a link needs are compared by the shingles that several components hold, under a positional filter, so no link between
+  components is lost; members of a list are never paired without that filter. Documents that only happen to share a few
+  shingles, more of them the larger the table, stay out of that step.
 * The boundary has the least estimated cost: subsets enumerated against entries and list members met.
 
 Documents without words have an empty set and stand alone. Null texts count as empty. Rows without id are returned with
@@ -37,6 +38,10 @@ from cohortlane.session import cut
 SHINGLE = 5
 #: Similarity as PART / WHOLE.
 PART, WHOLE = 80, 100
+#: Shingles are listed down to this part of a set; the less, the more of them linked sets share.
+UNLISTED = 75
+#: Passes that leave out documents which share too little with those that the pass before left.
+PASSES = 3
 #: Sets larger than this are never enumerated.
 MOST_SMALL = 16
 #: A shingle listed more often than this goes to the end of the order, for at most MOST_FREQUENT shingles.
@@ -55,12 +60,19 @@ def need(a, b):
 
 
 def prefix(n):
-    """How many shingles of a set of size n are listed."""
+    """How many shingles of a set of size n make sure that linked sets share one."""
     if isinstance(n, Column):
         return n - F.ceil(n * PART / WHOLE) + 1
     return n - -(-n * PART // WHOLE) + 1
 
 
+def listing(n):
+    """How many shingles of a set of size n are listed in the large sets' lists."""
+    if isinstance(n, Column):
+        return n - F.ceil(n * UNLISTED / WHOLE) + 1
+    return n - -(-n * UNLISTED // WHOLE) + 1
+
+
 def shingle_sets(texts) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes."""
     codes, distinct, bounds = coded([words(t) for t in texts])
@@ -106,7 +118,7 @@ def _listed(frequent, above: int):
                     if len(last):
                         late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
                         s = np.concatenate([s[~late], s[late]])
-                    rows.append((name, len(s), s[: prefix(len(s))]))
+                    rows.append((name, len(s), s[: listing(len(s))]))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "keys"])
 
     return run
@@ -144,7 +156,7 @@ def choose_boundary(sizes: dict[int, int], met: float) -> int:
     def cost(boundary: int) -> float:
         small = sum(sizes.get(n, 0) * subsets_of(n, boundary) for n in range(2, boundary + 1))
         first = -(-(boundary + 1) * PART // WHOLE)
-        return small + sum(sizes.get(n, 0) * prefix(n) * (1 + met) for n in range(first, MOST_SMALL * WHOLE // PART + 2))
+        return small + sum(sizes.get(n, 0) * listing(n) * (1 + met) for n in range(first, MOST_SMALL * WHOLE // PART + 2))
 
     return min(range(1, MOST_SMALL + 1), key=cost)
 
@@ -200,7 +212,7 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(WHOLE / PART)))
     entries = cut(entries.withColumn("members", F.count("*").over(one)).filter("members > 1").drop("members"))
     # the member that shares most of what it lists is the likeliest centre of a group
-    central = entries.groupBy("doc_id").agg((F.count("*") / prefix(F.first("n"))).alias("central"))
+    central = entries.groupBy("doc_id").agg((F.count("*") / listing(F.first("n"))).alias("central"))
     pivot = F.max(F.struct("central", (-F.col("doc_id")).alias("minus"), "n")).over(Window.partitionBy("key", "band"))
     stars = entries.join(central, "doc_id").withColumn("band", band).withColumn("pivot", pivot)
     near = stars.filter("doc_id <> -pivot.minus").select(
@@ -222,13 +234,29 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
         edges = edges.union(verified(docs, met, boundary))
 
     named = connected_components(edges).select(F.col("node").alias("doc_id"), "component")
-    placed = entries.select("key", "doc_id", "n").join(cut(named), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    placed = placed.withColumn("least", F.min("component").over(one)).withColumn("most", F.max("component").over(one))
-    open_ = cut(placed.filter("least < most").select("doc_id", "component").distinct())
+    placed = cut(entries.select("key", "doc_id", "n").join(cut(named), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")))
+    open_ = still_open(placed)
+    for _ in range(PASSES - 1):
+        open_ = still_open(_of_ids(placed, open_.select("doc_id"), "left_semi"))
     return edges.union(between_components(docs, open_, boundary)).union(copies)
 
 
+def still_open(placed: DataFrame) -> DataFrame:
+    """``(doc_id, component)`` of the documents that may link with one of another component in ``placed``.
+
+    ``placed(key, doc_id, n, component)`` has what is listed. Linked sets share ``PART / WHOLE`` of the larger one, of
+    size m; what either doesn't list is less than ``UNLISTED / WHOLE`` of m. So both list more than the difference, in
+    shingles that their two components hold.
+    """
+    one = Window.partitionBy("key")
+    shared = placed.withColumn("least", F.min("component").over(one)).withColumn(
+        "most", F.max("component").over(one)).filter("least < most")
+    enough = WHOLE * F.count("*") > (PART - UNLISTED) * F.col("n")
+    return cut(shared.groupBy("doc_id", "n", "component").agg(enough.alias("enough")).filter("enough").select(
+        "doc_id", "component").distinct())
+
+
 def between_components(docs: DataFrame, open_: DataFrame, boundary: int) -> DataFrame:
     """Links between documents of different components, among ``open_(doc_id, component)``.
 
@@ -264,7 +292,7 @@ def between_components(docs: DataFrame, open_: DataFrame, boundary: int) -> Data
 
 def least_shared(n_a: Column, n_b: Column) -> Column:
     """How many listed shingles linked sets share at least: what is not listed of either cannot make up for fewer."""
-    return need(n_a, n_b) + F.least(prefix(n_a) - n_a, prefix(n_b) - n_b)
+    return need(n_a, n_b) + F.least(listing(n_a) - n_a, listing(n_b) - n_b)
 
 
 def alike(n_a: Column, n_b: Column) -> Column:

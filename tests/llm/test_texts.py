@@ -379,3 +379,31 @@ def test_members_of_a_list_meet_under_the_positional_filter_alone(spark, monkeyp
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {**{i: i for i in range(30)}, 30: 0}
     across = [x for plan in plans for x in plan.split("\n") if "Join Inner" in x and re.search(r"NOT \(component#\d+L? = ", x)]
     assert across and all("rest#" in x for x in across)
+
+
+def test_texts_with_a_few_common_shingles_are_not_compared_across_components(spark, monkeypatch):
+    """Short passages of neighbours leave a text alone; texts about as different as links may be are all compared."""
+    seen, texts = [], []
+    plain = jj.between_components
+    monkeypatch.setattr(jj, "between_components", lambda docs, open_, boundary: (
+        seen.extend(r["doc_id"] for r in open_.collect()), plain(docs, open_, boundary))[1])
+    monkeypatch.setattr(jj, "MOST_FREQUENT", 0)
+    monkeypatch.setattr(jj, "ROUNDS", 0)
+    for n in range(40):
+        own = [f"own{n}x{i}" for i in range(300)]
+        texts.append(" ".join([f"to{n}x{i}" for i in range(20)] + own + [f"to{n + 1}x{i}" for i in range(20)]))
+    rows = list(enumerate(texts))
+    for family in range(30):
+        base = [f"base{family}x{i}" for i in range(30 + 6 * family)]
+        rows.append((len(rows), " ".join(base)))
+        for less in (0.8, 0.9):
+            rows.append((len(rows), " ".join(base[: round(less * (len(base) - 4)) + 4])))
+        other = list(base)
+        for k in range((len(base) - 4) // 50 + family % 2):
+            other[10 + 25 * k] = f"new{family}x{k}"
+        rows.append((len(rows), " ".join(other)))
+    found = jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    expected = groups(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == expected
+    assert len(rows) - len(set(expected.values())) > 60
+    assert min(seen) >= 40
