@@ -12,6 +12,7 @@ text order, each with its own row. An empty table gives an empty folder. Other c
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cohortlane.session import scratch_folder
 
 CHUNK_IDS = 1 << 16
-#: Texts encoded at a time.
-TOGETHER = 2000
+#: Bytes of texts encoded at a time; a longer text is encoded alone.
+TOGETHER = 6_000_000
 CHUNKS = pa.schema([
     ("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("planes", pa.list_(pa.binary())),
     ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())),
@@ -63,13 +64,17 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
 
 @cache
 def load_tokenizer(path: str):
+    # Spark has a task on every core; the tokenizer's own threads would each hold memory of their own
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
 #: A worker keeps the ids of at most so many parts of words that it has met, and encodes so many new ones in one text.
-MOST_KEPT, IN_ONE = 400_000, 64
+MOST_KEPT, IN_ONE = 600_000, 64
+#: Words parted, and new parts encoded, at a time: they take many times their length meanwhile.
+AT_ONCE = 16_384
 #: Words in which the tokenizer's own rules for parts are not plain: with any character but printable ASCII and letters that
 #: are one code point in every normal form and have one other case. Such words are left to the tokenizer whole.
 ODD = re.compile("[^ -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FE]")
@@ -98,6 +103,10 @@ class Parts:
 
     def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts, end to end, and how many each has."""
+        found = [self._encoded(parts[i : i + AT_ONCE]) for i in range(0, len(parts), AT_ONCE)] or [self._encoded([])]
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([lengths for _, lengths in found])
+
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = [" ".join(parts[i : i + IN_ONE]) for i in range(0, len(parts), IN_ONE)]
         ids = np.array([i for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids], dtype=np.uint32)
         ends = np.flatnonzero(self.last[np.minimum(ids, len(self.last) - 1)])
@@ -127,20 +136,27 @@ class Parts:
 
     def parts_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Places of the parts of all words, end to end, and how many parts each word has."""
-        text = " ".join(words.to_pylist())
-        low, names, odd = text.lower(), [], set()
-        if ODD.search(text) or (self.added and self.added.search(low)):
-            names = text.split(" ")
-            odd = {w for w in names if ODD.search(w) or (self.added and self.added.search(w.lower()))}
-            low = " ".join(["" if w in odd else w for w in names]).lower()
+        low_parts, odd, which, alone = [], set(), [], []
+        for at in range(0, len(words), AT_ONCE):
+            names = words.slice(at, AT_ONCE).to_pylist()
+            text = " ".join(names)
+            low = text.lower()
+            if ODD.search(text) or (self.added and self.added.search(low)):
+                left = [i for i, w in enumerate(names) if ODD.search(w) or (self.added and self.added.search(w.lower()))]
+                for i in left:
+                    which.append(at + i)
+                    alone.append(names[i])
+                    names[i] = ""
+                low = " ".join(names).lower()
+            low_parts.append(pa.array([" ", *PARTS.findall(low)], type=pa.string()))
+        odd.update(alone)
         # a blank ends each word; its own place, the first one, is not used
-        found = pa.array([" ", *PARTS.findall(low), " "]).dictionary_encode()
-        codes = found.indices.to_numpy(zero_copy_only=False)
+        found = pa.chunked_array([*low_parts, pa.array([" "])]).dictionary_encode()
+        codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in found.chunks])
         counts = np.diff(np.flatnonzero(codes == 0)) - 1
-        distinct, codes = found.dictionary.to_pylist()[1:], codes[codes > 0] - 1
+        distinct, codes = found.chunk(0).dictionary.to_pylist()[1:], codes[codes > 0] - 1
         if odd:
-            which = np.array([i for i, w in enumerate(names) if w in odd])
-            alone = pa.array([names[i] for i in which]).dictionary_encode()
+            alone = pa.array(alone).dictionary_encode()
             codes = np.insert(codes, np.cumsum(counts)[which], alone.indices.to_numpy(zero_copy_only=False) + len(distinct))
             distinct, counts[which] = distinct + alone.dictionary.to_pylist(), 1
         return self.places(distinct, odd)[codes], counts
@@ -178,6 +194,13 @@ def encode(texts: list[str | None] | pa.Array, path: str, end_id: int) -> tuple[
     return ids, text_ends + np.arange(1, len(texts) + 1)
 
 
+def bounded(texts: pa.Array) -> list[tuple[int, int]]:
+    """Bounds of slices that begin within ``TOGETHER`` bytes each."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // TOGETHER, prepend=-1)).tolist()
+    return list(zip(at, [*at[1:], len(texts)]))
+
+
 def _chunks(path: str, end_id: int, size: int, kind: str):
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -203,10 +226,11 @@ def _chunks(path: str, end_id: int, size: int, kind: str):
 
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(names), TOGETHER):
-                ids, ends = encode(texts.slice(at, TOGETHER), path, end_id)
-                docs += [[d, int(n)] for d, n in zip(names[at : at + TOGETHER], np.diff(ends, prepend=0))]
+            for at, upto in bounded(texts):
+                ids, ends = encode(texts.slice(at, upto - at), path, end_id)
+                docs += [[d, int(n)] for d, n in zip(names[at:upto], np.diff(ends, prepend=0))]
                 held = np.concatenate([held, ids])
+                pa.default_memory_pool().release_unused()
                 while len(held) >= size:
                     yield chunk(size)
         if len(held):

@@ -3,9 +3,11 @@
 import gzip
 import hashlib
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -150,6 +152,28 @@ def test_token_files_round_trip(spark, docs, rows, kind, size):
     assert sum(r["n_ids"] for r in index) == sum(map(len, ids)) and all(len(r["plane_bytes"]) == (32 if kind == "bit" else 4) for r in index)
 
 
+def test_long_texts_are_not_encoded_together(monkeypatch):
+    seen, encode = [], tp.encode
+    monkeypatch.setattr(tp, "encode", lambda texts, *rest: (seen.append(sum(len(t or "") for t in texts.to_pylist())), encode(texts, *rest))[1])
+    monkeypatch.setattr(tp, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [None, *(sentence(i, 20) + " x" * 1_000_000 for i in range(7)), "", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    rows = [r for out in tp._chunks(WORDS, 2, 1 << 16, "byte")([batch]) for r in out.to_pylist()]
+    assert sum(seen) == sum(len(t or "") for t in texts) and max(seen) < 9_000_000
+    ids = np.concatenate([tp.from_planes(r["planes"], r["n_ids"]) for r in rows])
+    known = Tokenizer.from_file(WORDS)
+    assert ids.tolist() == [i for t in texts for i in [*known.encode(t or "", add_special_tokens=False).ids, 2]]
+
+
+def test_parts_and_words_encoded_in_pieces(monkeypatch, rows):
+    texts = [r[1] for r in rows]
+    monkeypatch.setattr(tp, "AT_ONCE", 3)
+    tp.known_parts(WORDS).clear()
+    ids, ends = tp.encode(texts, WORDS, 2)
+    known = Tokenizer.from_file(WORDS)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [[*known.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+
 def test_token_files_of_nothing(no_docs):
     assert tp.stored(no_docs, WORDS).count() == 0
 
